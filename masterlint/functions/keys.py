@@ -48,21 +48,24 @@ def substitute_key(df: DataFrame) -> DataFrame:
     return df.withColumn("SUBSTITUTE5", short_code("ZZSUSTITUTO"))
 
 
-def _expected_storage(digit: Column, plant: Column) -> Column:
-    expected = F.when(F.lit(False), F.lit(None).cast("string"))
+def storage_by_plant() -> dict[str, str]:
+    """The storage location expected for a digit and plant number, keyed by their concatenation."""
+    expected = {}
     for zone, start in ZONE_START.items():
-        for platform, offset in PLATFORM_OFFSET.items():
-            expected = expected.when((digit == zone) & (plant == platform), F.lit(str(start + offset)))
-        expected = expected.when((digit == zone) & plant.between(start, start + 7), plant.cast("string"))
+        expected |= {f"{zone}{platform}": str(start + offset) for platform, offset in PLATFORM_OFFSET.items()}
+        expected |= {f"{zone}{plant}": str(plant) for plant in range(start, start + 8)}
     # Fixed value: the one frozen plant that dry goods may use.
-    return expected.when((digit == "4") & (plant == 6445), F.lit("6445"))
+    return expected | {"46445": "6445"}
+
+
+def _lookup(table: dict[str, str], key: Column) -> Column:
+    entries = F.create_map(*[F.lit(item) for pair in table.items() for item in pair])
+    return F.try_element_at(entries, key)
 
 
 def _expected_profit_centre(digit: Column, plant: Column) -> Column:
-    expected = F.when(~plant.isin(*PROFIT_CENTRE), F.concat(F.lit("F64"), F.substring(plant, 3, 2)))
-    for platform, centre in PROFIT_CENTRE.items():
-        expected = expected.when(digit.isin(*ZONE_START) & (plant == platform), F.lit(centre))
-    return expected
+    derived = F.when(~plant.isin(*PROFIT_CENTRE), F.concat(F.lit("F64"), F.substring(plant, 3, 2)))
+    return derived.when(digit.isin(*ZONE_START), _lookup(PROFIT_CENTRE, plant))
 
 
 def plant_keys(df: DataFrame) -> DataFrame:
@@ -74,7 +77,7 @@ def plant_keys(df: DataFrame) -> DataFrame:
             "PLANT": plant,
             "PLANT_NUMBER": number,
             "STORAGE": F.expr(blank_to_null("LGPRO")),
-            "STORAGE_EXPECTED": _expected_storage(digit, number),
+            "STORAGE_EXPECTED": _lookup(storage_by_plant(), F.concat(digit, number.cast("string"))),
             "CENTRE_EXPECTED": _expected_profit_centre(digit, plant),
         }
     )

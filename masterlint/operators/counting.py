@@ -21,8 +21,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from masterlint.functions.conditions import ALWAYS, either
-from masterlint.rules.model import Computed, Keys, Pairs, Part, Repeats, Rows, Rule
+from masterlint.functions.conditions import ALWAYS, either, text
+from masterlint.rules.model import Computed, Keys, Pairs, Part, Repeats, Rows, Rule, Term
 from masterlint.sources.catalog import Catalog
 from masterlint.sources.schemas import SOURCES
 
@@ -38,10 +38,6 @@ class Slot:
     failed: bool
     part: Part
 
-    @property
-    def name(self) -> str:
-        return f"{'failed' if self.failed else 'total'}_{self.rule.id}"
-
 
 def counts(catalog: Catalog, rules: Iterable[Rule]) -> DataFrame:
     """One row per rule with its grading policy, TOTAL_RECORDS and FAILED_RECORDS."""
@@ -52,39 +48,38 @@ def counts(catalog: Catalog, rules: Iterable[Rule]) -> DataFrame:
         for part in measure
     ]
     frames = [*_row_frames(catalog, slots), *_key_frames(catalog, slots), *_computed_frames(catalog, slots)]
-    rows = reduce(DataFrame.unionByName, frames)
+    rows = reduce(DataFrame.union, frames)
     if len(frames) == 1:
         return rows
-    labels = [c for c in rows.columns if not c.endswith("_RECORDS")]
-    return rows.groupBy(*labels).agg(
+    return rows.groupBy("RULE_ID", "PASS_AT", "INCLUSIVE", "FAIL_BELOW", "COARSE_RATE", "NOTE").agg(
         F.sum("TOTAL_RECORDS").alias("TOTAL_RECORDS"), F.sum("FAILED_RECORDS").alias("FAILED_RECORDS")
     )
 
 
-def _per_rule(wide: DataFrame, numbers: dict[Slot, Column]) -> DataFrame:
-    """Turns a one-row frame of numbers into one row per rule."""
+def _per_rule(wide: DataFrame, numbers: dict[Slot, str]) -> DataFrame:
+    """Turns a one-row frame into one row per rule, given a SQL number for each slot."""
     by_rule: dict[int, list[Slot]] = defaultdict(list)
     for slot in numbers:
         by_rule[slot.rule.id].append(slot)
 
-    def added(slots: list[Slot]) -> Column:
-        terms = [numbers[s] * getattr(s.part, "sign", 1) for s in slots]
-        return reduce(Column.__add__, terms, F.lit(0).cast("bigint"))
+    def added(slots: list[Slot]) -> str:
+        return " + ".join(["0L", *[f"{getattr(s.part, 'sign', 1)}L * ({numbers[s]})" for s in slots]])
 
-    def entry(slots: list[Slot]) -> Column:
+    def entry(slots: list[Slot]) -> str:
         rule = slots[0].rule
-        return F.struct(
-            F.lit(rule.id).cast("bigint").alias("RULE_ID"),
-            F.lit(rule.policy.pass_at).alias("PASS_AT"),
-            F.lit(rule.policy.inclusive).alias("INCLUSIVE"),
-            F.lit(rule.policy.fail_below).alias("FAIL_BELOW"),
-            F.lit(rule.coarse_rate).alias("COARSE_RATE"),
-            F.lit(rule.note).alias("NOTE"),
-            added([s for s in slots if not s.failed]).alias("TOTAL_RECORDS"),
-            added([s for s in slots if s.failed]).alias("FAILED_RECORDS"),
-        )
+        fields = {
+            "RULE_ID": f"{rule.id}L",
+            "PASS_AT": f"{rule.policy.pass_at}D",
+            "INCLUSIVE": str(rule.policy.inclusive),
+            "FAIL_BELOW": f"{rule.policy.fail_below}D",
+            "COARSE_RATE": str(rule.coarse_rate),
+            "NOTE": text(rule.note),
+            "TOTAL_RECORDS": added([s for s in slots if not s.failed]),
+            "FAILED_RECORDS": added([s for s in slots if s.failed]),
+        }
+        return f"named_struct({', '.join(f'{text(name)}, {value}' for name, value in fields.items())})"
 
-    return wide.select(F.inline(F.array(*[entry(slots) for slots in by_rule.values()])))
+    return wide.selectExpr(f"inline(array({', '.join(entry(slots) for slots in by_rule.values())}))")
 
 
 class _Counters:
@@ -99,7 +94,7 @@ class _Counters:
 
     def columns(self) -> list[Column]:
         return [
-            (F.count(F.lit(1)) if condition == ALWAYS else F.count_if(F.expr(condition))).alias(name)
+            F.expr(f"{'count(1)' if condition == ALWAYS else f'count_if({condition})'} AS {name}")
             for condition, name in self.names.items()
         ]
 
@@ -119,7 +114,7 @@ def _row_frames(catalog: Catalog, slots: list[Slot]) -> list[DataFrame]:
     frames = []
     for table, members in by_table.items():
         counters = _Counters(table)
-        numbers = {slot: F.col(counters.name(slot.part.where)) for slot in members}
+        numbers = {slot: counters.name(slot.part.where) for slot in members}
         frames.append(_per_rule(counters.source(catalog).agg(*counters.columns()), numbers))
     return frames
 
@@ -147,37 +142,35 @@ def _key_frames(catalog: Catalog, slots: list[Slot]) -> list[DataFrame]:
 def _key_frame(catalog: Catalog, spine: str, slots: list[Slot]) -> DataFrame:
     tables: dict[str, _Counters] = {spine: _Counters(spine)}
 
-    def counter(table: str, condition: str) -> Column:
-        return F.col(tables.setdefault(table, _Counters(table)).name(condition))
+    def counter(table: str, condition: str) -> str:
+        """The key's counter, or 0 where the table lacks the key."""
+        name = tables.setdefault(table, _Counters(table)).name(condition)
+        return name if table == spine else f"coalesce({name}, 0L)"
 
-    def product(term: dict[str, str]) -> Column:
-        return reduce(Column.__mul__, [counter(table, condition) for table, condition in term.items()])
+    def product(term: Term) -> str:
+        return " * ".join(counter(table, condition) for table, condition in term.items())
 
     key = SOURCES[spine].key
-    per_key: dict[Slot, Column] = {}
+    per_key: dict[Slot, str] = {}
     for slot in slots:
         part = slot.part
         if isinstance(part, Pairs):
-            per_key[slot] = reduce(Column.__add__, [product(term) for term in part.terms])
+            per_key[slot] = " + ".join(product(term) for term in part.terms)
         elif isinstance(part, Keys):
-            per_key[slot] = (F.col(key).isNotNull() & (product(part.term) > 0)).cast("bigint")
+            per_key[slot] = f"if({key} IS NOT NULL AND {product(part.term)} > 0, 1L, 0L)"
         else:
             copies = counter(part.table, part.where)
-            per_key[slot] = F.when(copies > 1, copies).otherwise(0)
+            per_key[slot] = f"if({copies} > 1, {copies}, 0L)"
 
     others = [code for code in tables if code != spine]
     needs_all = len(others) == 1 and all(isinstance(s.part, Pairs | Keys) and len(_tables(s.part)) == 2 for s in slots)
     keyed = _by_key(catalog, tables[spine], key, keep_null=not needs_all)
     for code in others:
         keyed = keyed.join(_by_key(catalog, tables[code], key), key, "inner" if needs_all else "left")
-    keyed = keyed.na.fill(0, [name for c in tables.values() for name in c.names.values()])
-    sums = keyed.agg(*[F.coalesce(F.sum(value), F.lit(0)).alias(slot_name(slot)) for slot, value in per_key.items()])
-    return _per_rule(sums, {slot: F.col(slot_name(slot)) for slot in per_key})
-
-
-def slot_name(slot: Slot) -> str:
-    measure = slot.rule.fails if slot.failed else slot.rule.total
-    return f"{slot.name}_{measure.index(slot.part)}"
+    # several slots may ask for the same number, such as a population shared by many rules
+    names = {value: f"N_{index}" for index, value in enumerate(dict.fromkeys(per_key.values()))}
+    sums = keyed.agg(*[F.expr(f"coalesce(sum({value}), 0L) AS {name}") for value, name in names.items()])
+    return _per_rule(sums, {slot: names[value] for slot, value in per_key.items()})
 
 
 def _tables(part: Pairs | Keys) -> set[str]:
@@ -198,6 +191,6 @@ def _computed_frames(catalog: Catalog, slots: list[Slot]) -> list[DataFrame]:
         if isinstance(slot.part, Computed):
             by_frame[slot.part.frame].append(slot)
     return [
-        _per_rule(frame(catalog), {slot: F.coalesce(F.col(slot.part.column), F.lit(0)) for slot in members})
+        _per_rule(frame(catalog), {slot: f"coalesce({slot.part.column}, 0L)" for slot in members})
         for frame, members in by_frame.items()
     ]

@@ -206,31 +206,46 @@ def contact_mail(catalog: Catalog) -> DataFrame:
     return contacts.join(vendors, "LIFNR").agg(F.sum(F.col("CONTACTS") * F.col("VENDOR_BLANKS")).alias("FAILED"))
 
 
-def _equal_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Row pairs with the same material and the same VALUE, both reduced to counts first."""
-    left = left.filter("MATNR IS NOT NULL").groupBy("MATNR", "VALUE").agg(F.count(F.lit(1)).alias("LEFT_ROWS"))
-    right = right.filter("MATNR IS NOT NULL").groupBy("MATNR", "VALUE").agg(F.count(F.lit(1)).alias("RIGHT_ROWS"))
-    return left.join(right, ["MATNR", "VALUE"]).agg(F.sum(F.col("LEFT_ROWS") * F.col("RIGHT_ROWS")).alias("EQUAL"))
+def equal_quantities(catalog: Catalog) -> DataFrame:
+    """Pairs (material, unit) whose quantities agree, for cases and for KG units.
+
+    CASES: unit weight times UMREZ is the case weight. Weights have three decimals, so
+    in thousandths the only unit weight that fits a case is an exact quotient.
+    RATIOS: UMREN / UMREZ is the net weight. Either way the comparison becomes an
+    equality of one value on each side, so equal pairs come from an equi-join of
+    counts per value, and differing pairs never have to be built.
+    """
+    thousandths = "cast(BRGEW * 1000 AS bigint)"
+    goods = catalog.table("M").filter(F.expr(f"{GOODS} AND MATNR IS NOT NULL"))
+    units = catalog.table("R").filter("MATNR IS NOT NULL AND UMREZ <> 0")
+    case = f"MEINH = 'CS' AND try_mod({thousandths}, UMREZ) = 0"
+    left = _values(goods, f"if(MEINS = 'ST', {thousandths}, NULL)", "NTGEW")
+    right = _values(
+        units, f"if({case}, {thousandths} div UMREZ, NULL)", "if(MEINH = 'KG', try_divide(UMREN, UMREZ), NULL)"
+    )
+    equal = F.col("LEFT_ROWS") * F.col("RIGHT_ROWS")
+    return (
+        left.withColumnRenamed("COPIES", "LEFT_ROWS")
+        .join(right.withColumnRenamed("COPIES", "RIGHT_ROWS"), ["MATNR", "KIND", "VALUE"])
+        .agg(
+            F.sum(F.when(F.col("KIND") == "CASES", equal)).alias("CASES"),
+            F.sum(F.when(F.col("KIND") == "RATIOS", equal)).alias("RATIOS"),
+        )
+    )
 
 
-def equal_case_weights(catalog: Catalog) -> DataFrame:
-    """Pairs (material, case) where unit weight times UMREZ is the case weight.
+def _values(rows: DataFrame, case_value: str, ratio_value: str) -> DataFrame:
+    """Rows per material and value, with the values of both comparisons in one column.
 
-    Weights have three decimals, so in thousandths the only unit weight that fits a
-    case is an exact integer quotient, and the comparison becomes an equi-join.
+    Thousandths stay below 2**53, so a double holds them exactly.
     """
-    unit = catalog.table("M").filter(F.expr(f"{GOODS} AND MEINS = 'ST' AND BRGEW IS NOT NULL"))
-    case = catalog.table("R").filter("MEINH = 'CS' AND BRGEW IS NOT NULL AND UMREZ <> 0")
-    thousandths = F.expr("cast(BRGEW * 1000 AS bigint)")
-    case = case.withColumn("W", thousandths).filter("try_mod(W, UMREZ) = 0")
-    return _equal_pairs(unit.withColumn("VALUE", thousandths), case.withColumn("VALUE", F.expr("W div UMREZ")))
-
-
-def equal_unit_ratios(catalog: Catalog) -> DataFrame:
-    """Pairs (material, KG unit) where UMREN / UMREZ is the net weight."""
-    goods = catalog.table("M").filter(F.expr(f"{GOODS} AND NTGEW IS NOT NULL"))
-    units = catalog.table("R").filter("MEINH = 'KG' AND UMREN IS NOT NULL AND UMREZ <> 0")
-    return _equal_pairs(
-        goods.withColumn("VALUE", F.col("NTGEW").cast("double")),
-        units.withColumn("VALUE", F.expr("try_divide(UMREN, UMREZ)")),
+    kinds = [
+        f"named_struct('KIND', '{kind}', 'VALUE', cast({value} AS double))"
+        for kind, value in (("CASES", case_value), ("RATIOS", ratio_value))
+    ]
+    return (
+        rows.selectExpr("MATNR", f"inline(array({', '.join(kinds)}))")
+        .filter("VALUE IS NOT NULL")
+        .groupBy("MATNR", "KIND", "VALUE")
+        .agg(F.count(F.lit(1)).alias("COPIES"))
     )

@@ -12,7 +12,7 @@ from masterlint.operators.counting import counts
 from masterlint.rules.model import Rule
 from masterlint.sources.catalog import Catalog
 
-RESULT_COLUMNS = ("RULE_ID", "TOTAL_RECORDS", "FAILED_RECORDS", "PASSED_PERCENTAGE", "STATUS", "DETAILS")
+GRADING_COLUMNS = ("PASS_AT", "INCLUSIVE", "FAIL_BELOW", "COARSE_RATE", "NOTE")
 
 FACT_SCHEMA = T.StructType(
     [
@@ -59,20 +59,13 @@ def grade(counted: DataFrame) -> DataFrame:
     coarse = F.coalesce(F.round(share, 3) * 100, F.lit(100.0))
     rate = F.col("PASSED_PERCENTAGE")
     passed = (rate > F.col("PASS_AT")) | (F.col("INCLUSIVE") & (rate == F.col("PASS_AT")))
-    return (
-        counted.withColumn("PASSED_PERCENTAGE", F.when(F.col("COARSE_RATE"), coarse).otherwise(fine))
-        .withColumn("STATUS", F.when(passed, "PASSED").when(rate < F.col("FAIL_BELOW"), "FAILED").otherwise("ERROR"))
-        .withColumn(
-            "DETAILS",
-            F.concat(
-                F.lit("Total: "),
-                F.col("TOTAL_RECORDS").cast("string"),
-                F.lit(", Failed: "),
-                F.col("FAILED_RECORDS").cast("string"),
-                F.col("NOTE"),
-            ),
-        )
-        .select(*RESULT_COLUMNS)
+    kept = [name for name in counted.columns if name not in GRADING_COLUMNS]
+    details = "concat('Total: ', TOTAL_RECORDS, ', Failed: ', FAILED_RECORDS, NOTE) AS DETAILS"
+    return counted.select("*", F.when(F.col("COARSE_RATE"), coarse).otherwise(fine).alias("PASSED_PERCENTAGE")).select(
+        *kept,
+        rate,
+        F.when(passed, "PASSED").when(rate < F.col("FAIL_BELOW"), "FAILED").otherwise("ERROR").alias("STATUS"),
+        F.expr(details),
     )
 
 

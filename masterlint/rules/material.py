@@ -472,7 +472,7 @@ def _units() -> list[Rule]:
             (
                 Pairs(({"M": weighed, "R": case_weighed},)),
                 Pairs(({"M": weighed, "R": both(case_weighed, "UMREZ = 0", "BRGEW = 0")},), sign=-1),
-                Computed(grouped.equal_case_weights, "EQUAL", sign=-1),
+                Computed(grouped.equal_quantities, "CASES", sign=-1),
             ),
             goods_with(*both_units), listing.unbalanced_weights,
         ),
@@ -497,7 +497,7 @@ def _units() -> list[Rule]:
         measured(81, "DOMAIN", S99, both("MEINH = 'CS'", outside("MEABM", "MM")), M_SHORT, "R.MEINH", "R.MEABM"),
         _special(
             82, "NUMERIC", S99,
-            (Pairs(({"M": netted, "R": ratio_known},)), Computed(grouped.equal_unit_ratios, "EQUAL", sign=-1)),
+            (Pairs(({"M": netted, "R": ratio_known},)), Computed(grouped.equal_quantities, "RATIOS", sign=-1)),
             goods_with("CS"), listing.unbalanced_ratios,
         ),
         on(

@@ -72,7 +72,7 @@ def vendor_rules() -> list[Rule]:
     blank = partial(missing, or_empty=True)
     foreign = both(IN_SCOPE, "LAND1 <> 'ES'")
     commercial = is_in("PAFKT", ("Z3", "Z4"))
-    repeated = partial(listing.repeated_keys, code="V", where=IN_SCOPE, shown=SHORT, copies="registros")
+    repeated = partial(listing.repeated_keys, code="V", where=IN_SCOPE, shown="right(lpad(LIFNR, 10, '0'), 5) AS LIFNR", copies="registros")
     return [
         _rule(
             93, "UNIQUE", H93, "LFA1", (Repeats("V", IN_SCOPE),), (Rows("V", IN_SCOPE),), Listing(frame=repeated)

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from masterlint.functions import keys
 from masterlint.sources import samples
@@ -47,7 +46,9 @@ class Catalog:
 
     def _prepare(self, code: str) -> DataFrame:
         source = SOURCES[code]
-        df = self._load(code).select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in source.schema])
+        df = self._load(code).selectExpr(
+            *[f"cast({field.name} AS {field.dataType.simpleString()}) AS {field.name}" for field in source.schema]
+        )
         if source.key == "MATNR":
             df = keys.material_keys(df)
         if source.key == "LIFNR":

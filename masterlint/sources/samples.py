@@ -12,7 +12,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 MATERIAL_KEY = (
     "cast(((p_partkey - p_partkey % 10000) * 10) + (CASE p_partkey % 5 WHEN 0 THEN 1 WHEN 1 THEN 3 "
@@ -231,11 +230,18 @@ DERIVATIONS: dict[str, Derivation] = {
 }
 
 
+# The base columns the derivations read, so that no schema has to be inferred.
+BASE_SCHEMAS = {
+    "part": "p_partkey bigint, p_name string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string",
+}
+
+
 def derive(spark: SparkSession, sample_dir: str, code: str) -> DataFrame:
     """The staging table ``code`` over the sample parquet files in ``sample_dir``."""
     spec = DERIVATIONS[code]
-    base = spark.read.parquet(f"{sample_dir}/{spec.base}.parquet")
+    base = spark.read.schema(BASE_SCHEMAS[spec.base]).parquet(f"{sample_dir}/{spec.base}.parquet")
     if spec.fan_out > 1:
-        ordinals = F.array(*[F.lit(i) for i in range(spec.fan_out)])
-        base = base.select("*", F.explode(ordinals).alias("n_nationkey"))
-    return base.select(*[F.expr(sql).alias(name) for name, sql in spec.columns.items()])
+        ordinals = ", ".join(str(n) for n in range(spec.fan_out))
+        base = base.selectExpr("*", f"explode(array({ordinals})) AS n_nationkey")
+    return base.selectExpr(*[f"{sql} AS {name}" for name, sql in spec.columns.items()])
