@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from masterlint.functions.conditions import blank_to_null
+from masterlint.functions.conditions import blank_to_null, is_in
 
 MATERIAL_WIDTH = 18
 VENDOR_WIDTH = 10
@@ -58,26 +58,28 @@ def storage_by_plant() -> dict[str, str]:
     return expected | {"46445": "6445"}
 
 
-def _lookup(table: dict[str, str], key: Column) -> Column:
-    entries = F.create_map(*[F.lit(item) for pair in table.items() for item in pair])
-    return F.try_element_at(entries, key)
-
-
 def _expected_profit_centre(digit: Column, plant: Column) -> Column:
     derived = F.when(~plant.isin(*PROFIT_CENTRE), F.concat(F.lit("F64"), F.substring(plant, 3, 2)))
-    return derived.when(digit.isin(*ZONE_START), _lookup(PROFIT_CENTRE, plant))
+    for platform, centre in PROFIT_CENTRE.items():
+        derived = derived.when(digit.isin(*ZONE_START) & (plant == platform), centre)
+    return derived
+
+
+def _normalised(column: str) -> Column:
+    """The trimmed value, null if blank. A known plant code is taken as it is: most rows skip the trimming."""
+    known = sorted({*storage_by_plant().values(), *PROFIT_CENTRE})
+    return F.expr(f"if({is_in(column, known)}, {column}, {blank_to_null(column)})")
 
 
 def plant_keys(df: DataFrame) -> DataFrame:
-    digit = zone_digit()
-    plant = F.expr(blank_to_null("WERKS"))
+    keyed = df.withColumns({"PLANT": _normalised("WERKS"), "STORAGE": _normalised("LGPRO")})
+    digit, plant = F.col("DIGIT"), F.col("PLANT")
     number = plant.try_cast("bigint")
-    return df.withColumns(
+    storage = F.create_map(*[F.lit(item) for pair in storage_by_plant().items() for item in pair])
+    return keyed.withColumns(
         {
-            "PLANT": plant,
             "PLANT_NUMBER": number,
-            "STORAGE": F.expr(blank_to_null("LGPRO")),
-            "STORAGE_EXPECTED": _lookup(storage_by_plant(), F.concat(digit, number.cast("string"))),
+            "STORAGE_EXPECTED": F.try_element_at(storage, F.concat(digit, number.cast("string"))),
             "CENTRE_EXPECTED": _expected_profit_centre(digit, plant),
         }
     )

@@ -93,8 +93,11 @@ class _Counters:
         return self.names.setdefault(condition, f"{self.table}_{len(self.names)}")
 
     def columns(self) -> list[Column]:
+        # The condition stays inside the aggregate function: generated code then gets one small
+        # method per counter. COUNT_IF would be planned as a projection of all conditions below
+        # the aggregate, one method too large for the JVM to compile.
         return [
-            F.expr(f"{'count(1)' if condition == ALWAYS else f'count_if({condition})'} AS {name}")
+            F.expr(f"{'count(1)' if condition == ALWAYS else f'count(CASE WHEN {condition} THEN 1 END)'} AS {name}")
             for condition, name in self.names.items()
         ]
 
@@ -136,21 +139,26 @@ def _key_frames(catalog: Catalog, slots: list[Slot]) -> list[DataFrame]:
         spine = _spine(slot.part)
         if spine is not None:
             by_spine[spine].append(slot)
-    return [_key_frame(catalog, spine, members) for spine, members in by_spine.items()]
+    return [frame for spine, members in by_spine.items() for frame in _spine_frames(catalog, spine, members)]
 
 
-def _key_frame(catalog: Catalog, spine: str, slots: list[Slot]) -> DataFrame:
+def _spine_frames(catalog: Catalog, spine: str, slots: list[Slot]) -> list[DataFrame]:
+    """Keyed counts that share a spine table, one frame per group of tables joined with it.
+
+    The reduced spine is the same plan in every frame, so its shuffle is run once and
+    reused. Its counters travel as one array column for that reason: single columns
+    would be pruned differently in each frame.
+    """
+    key = SOURCES[spine].key
     tables: dict[str, _Counters] = {spine: _Counters(spine)}
 
     def counter(table: str, condition: str) -> str:
-        """The key's counter, or 0 where the table lacks the key."""
         name = tables.setdefault(table, _Counters(table)).name(condition)
-        return name if table == spine else f"coalesce({name}, 0L)"
+        return f"{spine}[{list(tables[spine].names).index(condition)}]" if table == spine else name
 
     def product(term: Term) -> str:
         return " * ".join(counter(table, condition) for table, condition in term.items())
 
-    key = SOURCES[spine].key
     per_key: dict[Slot, str] = {}
     for slot in slots:
         part = slot.part
@@ -162,20 +170,40 @@ def _key_frame(catalog: Catalog, spine: str, slots: list[Slot]) -> DataFrame:
             copies = counter(part.table, part.where)
             per_key[slot] = f"if({copies} > 1, {copies}, 0L)"
 
-    others = [code for code in tables if code != spine]
-    needs_all = len(others) == 1 and all(isinstance(s.part, Pairs | Keys) and len(_tables(s.part)) == 2 for s in slots)
-    keyed = _by_key(catalog, tables[spine], key, keep_null=not needs_all)
-    for code in others:
-        keyed = keyed.join(_by_key(catalog, tables[code], key), key, "inner" if needs_all else "left")
-    # several slots may ask for the same number, such as a population shared by many rules
-    names = {value: f"N_{index}" for index, value in enumerate(dict.fromkeys(per_key.values()))}
-    sums = keyed.agg(*[F.expr(f"coalesce(sum({value}), 0L) AS {name}") for value, name in names.items()])
-    return _per_rule(sums, {slot: names[value] for slot, value in per_key.items()})
+    reduced = {code: _by_key(catalog, counters, key) for code, counters in tables.items() if code != spine}
+    spine_rows = _by_key(catalog, tables[spine], key, keep_null=True).selectExpr(
+        key, f"array({', '.join(tables[spine].names.values())}) AS {spine}"
+    )
+    frames = []
+    for joined in _join_groups([(_tables(slot.part) - {spine}) for slot in slots]):
+        members = {slot: value for slot, value in per_key.items() if _tables(slot.part) - {spine} <= joined}
+        if joined:
+            members = {slot: value for slot, value in members.items() if _tables(slot.part) != {spine}}
+        # a key that a joined table lacks has null counters there; its null product adds nothing
+        rows = spine_rows
+        for code in sorted(joined):
+            rows = rows.join(reduced[code], key, "left")
+        # several slots may ask for the same number, such as a population shared by many rules
+        names = {value: f"N_{index}" for index, value in enumerate(dict.fromkeys(members.values()))}
+        sums = rows.agg(*[F.expr(f"coalesce(sum({value}), 0L) AS {name}") for value, name in names.items()])
+        frames.append(_per_rule(sums, {slot: names[value] for slot, value in members.items()}))
+    return frames
+
 
+def _join_groups(needed: list[set[str]]) -> list[set[str]]:
+    """Merges overlapping sets of tables, so that each table is reduced and joined once."""
+    groups: list[set[str]] = []
+    for tables in needed:
+        overlapping = [group for group in groups if group & tables or group == tables]
+        groups = [group for group in groups if group not in overlapping]
+        groups.append(tables.union(*overlapping))
+    return groups
 
-def _tables(part: Pairs | Keys) -> set[str]:
-    terms = part.terms if isinstance(part, Pairs) else (part.term,)
-    return {table for term in terms for table in term}
+
+def _tables(part: Part) -> set[str]:
+    if isinstance(part, Pairs):
+        return {table for term in part.terms for table in term}
+    return set(part.term) if isinstance(part, Keys) else {part.table}
 
 
 def _by_key(catalog: Catalog, counters: _Counters, key: str, keep_null: bool = False) -> DataFrame:
