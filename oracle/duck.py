@@ -225,28 +225,36 @@ GRADED = """
     FROM (""" + RATED + ")"
 
 
-def results(rules: Iterable[int]) -> str:
-    """Graded results of the given rules."""
+def _with(parts: list[str], query: str) -> str:
+    return f"WITH {', '.join(parts)} {query}" if parts else query
+
+
+def results(rules: Iterable[int], staged: bool = False) -> str:
+    """Graded results of the given rules. ``staged`` means that M, C, ... exist as tables."""
     tables, rows = zip(*[_count_row(rule) for rule in rules], strict=True)
     counts = "counts AS (" + " UNION ALL ".join(rows) + ")"
-    return f"WITH {', '.join([*staging(''.join(tables)), counts])} {GRADED.format(kept='', counts='counts')}"
+    sources = [] if staged else staging("".join(tables))
+    return _with([*sources, counts], GRADED.format(kept="", counts="counts"))
 
 
-def violations(rule: int) -> str:
+def violations(rule: int, staged: bool = False) -> str:
     """The rows behind a rule's failures."""
+    used, query = _listing(rule)
+    return _with([] if staged else staging(used), query)
+
+
+def _listing(rule: int) -> tuple[str, str]:
+    """Tables used, and the SELECT of a rule's failing rows."""
     if rule == 39:
-        return (
-            f"WITH {', '.join(staging('M'))} SELECT XCHPF, count(*) AS registros FROM M AS m "
+        return "M", (
+            f"SELECT XCHPF, count(*) AS registros FROM M AS m "
             f"WHERE {expand(CHECKS[39].failed)} GROUP BY XCHPF"
         )
     if rule in GROUPED:
         used, _, rows = GROUPED[rule]
-        return f"WITH {', '.join(staging(used))} {expand(rows)}"
+        return used, expand(rows)
     relation, predicate = LISTED.get(rule, (CHECKS[rule].relation, CHECKS[rule].failed))
-    return (
-        f"WITH {', '.join(staging(relation))} SELECT {expand(LISTINGS[rule])} "
-        f"FROM {RELATIONS[relation]} WHERE {expand(predicate)}"
-    )
+    return relation, f"SELECT {expand(LISTINGS[rule])} FROM {RELATIONS[relation]} WHERE {expand(predicate)}"
 
 
 def daily_cube(runs: list[tuple[str, str, int]], dimension: list[tuple]) -> str:
