@@ -217,35 +217,25 @@ def equal_quantities(catalog: Catalog) -> DataFrame:
     """
     thousandths = "cast(BRGEW * 1000 AS bigint)"
     goods = catalog.table("M").filter(F.expr(f"{GOODS} AND MATNR IS NOT NULL"))
-    units = catalog.table("R").filter("MATNR IS NOT NULL AND UMREZ <> 0")
-    case = f"MEINH = 'CS' AND try_mod({thousandths}, UMREZ) = 0"
-    left = _values(goods, f"if(MEINS = 'ST', {thousandths}, NULL)", "NTGEW")
-    right = _values(
-        units, f"if({case}, {thousandths} div UMREZ, NULL)", "if(MEINH = 'KG', try_divide(UMREN, UMREZ), NULL)"
+    asked = goods.selectExpr(
+        "MATNR",
+        f"""inline(array(
+            named_struct('KIND', 'CASES', 'VALUE', cast(if(MEINS = 'ST', {thousandths}, NULL) AS double)),
+            named_struct('KIND', 'RATIOS', 'VALUE', cast(NTGEW AS double))))""",
     )
-    equal = F.col("LEFT_ROWS") * F.col("RIGHT_ROWS")
-    return (
-        left.withColumnRenamed("COPIES", "LEFT_ROWS")
-        .join(right.withColumnRenamed("COPIES", "RIGHT_ROWS"), ["MATNR", "KIND", "VALUE"])
-        .agg(
-            F.sum(F.when(F.col("KIND") == "CASES", equal)).alias("CASES"),
-            F.sum(F.when(F.col("KIND") == "RATIOS", equal)).alias("RATIOS"),
-        )
+    units = catalog.table("R").filter("MATNR IS NOT NULL AND UMREZ <> 0 AND MEINH IN ('CS', 'KG')")
+    quotient = f"if(try_mod({thousandths}, UMREZ) = 0, {thousandths} div UMREZ, NULL)"
+    offered = units.selectExpr(
+        "MATNR",
+        "if(MEINH = 'CS', 'CASES', 'RATIOS') AS KIND",
+        f"if(MEINH = 'CS', cast({quotient} AS double), try_divide(UMREN, UMREZ)) AS VALUE",
+    )
+    pairs = _copies(asked, "ASKED").join(_copies(offered, "OFFERED"), ["MATNR", "KIND", "VALUE"])
+    return pairs.agg(
+        *[F.expr(f"sum(CASE WHEN KIND = '{kind}' THEN ASKED * OFFERED END) AS {kind}") for kind in ("CASES", "RATIOS")]
     )
 
 
-def _values(rows: DataFrame, case_value: str, ratio_value: str) -> DataFrame:
-    """Rows per material and value, with the values of both comparisons in one column.
-
-    Thousandths stay below 2**53, so a double holds them exactly.
-    """
-    kinds = [
-        f"named_struct('KIND', '{kind}', 'VALUE', cast({value} AS double))"
-        for kind, value in (("CASES", case_value), ("RATIOS", ratio_value))
-    ]
-    return (
-        rows.selectExpr("MATNR", f"inline(array({', '.join(kinds)}))")
-        .filter("VALUE IS NOT NULL")
-        .groupBy("MATNR", "KIND", "VALUE")
-        .agg(F.count(F.lit(1)).alias("COPIES"))
-    )
+def _copies(values: DataFrame, name: str) -> DataFrame:
+    """Rows per material, kind and value. Thousandths stay below 2**53, so a double holds them exactly."""
+    return values.filter("VALUE IS NOT NULL").groupBy("MATNR", "KIND", "VALUE").agg(F.count(F.lit(1)).alias(name))
