@@ -83,8 +83,9 @@ class Counter:
 
     def _with_runs(self, text: str) -> int:
         """Texts with runs of spaces: segments as they stand, one space of the first being the library's own."""
-        segments = _SEGMENT.findall(" " + text)
-        return sum(map(len, self.model.encode([s[1:] for s in segments], num_threads=1)))
+        segments = [s[1:] for s in _SEGMENT.findall(" " + text)]
+        lone = segments.count("")  # one space at the end: the mark alone
+        return lone + sum(map(len, self.model.encode(segments, num_threads=1)))
 
 
 def count_tokens(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
