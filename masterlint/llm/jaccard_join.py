@@ -20,9 +20,11 @@ two blocks; nothing is left out.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -56,8 +58,6 @@ class Shingler:
         self.words, self.known = words, {}
 
     def _hash(self, word: bytes) -> int:
-        import xxhash
-
         if len(self.known) > self.REMEMBERED:
             self.known = {}
         self.known[word] = value = xxhash.xxh3_64_intdigest(word)
@@ -80,6 +80,12 @@ class Shingler:
         return np.unique(total)
 
 
+@lru_cache(1)
+def shingler() -> Shingler:
+    """A worker's shingler: the words it has hashed serve the next tasks."""
+    return Shingler()
+
+
 def bitmap(shingles: np.ndarray) -> np.ndarray:
     """One bit per shingle in a power of two of bits, so that a wide map folds onto a narrow one."""
     width = max(64, 1 << (int(BITS_PER_SHINGLE * len(shingles)) - 1).bit_length())
@@ -236,9 +242,9 @@ def _possible_links(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 def _links(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per group of (node, text): a spanning forest of the links."""
-    shingler, out = Shingler(), []
+    out: list[tuple[int, int]] = []
     for group in row_groups(batches, ["bucket", "part"]):
-        sets = [shingler(t) for t in group["text"].to_pylist()]
+        sets = [shingler()(t) for t in group["text"].to_pylist()]
         order = sorted(range(len(sets)), key=lambda i: (len(sets[i]), sets[i][:1].tolist()))
         sets, ids = [sets[i] for i in order], group["node"].to_pylist()
         nodes = [ids[i] for i in order]
@@ -271,9 +277,8 @@ def _grouped(rows: DataFrame, order: list[str], search: Callable) -> DataFrame:
 
 
 def _fingerprints(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    shingler = Shingler()
     for batch in batches:
-        sets = [shingler(text) for text in batch.column(2).to_pylist()]
+        sets = [shingler()(text) for text in batch.column(2).to_pylist()]
         with np.errstate(over="ignore"):
             sums = [(int(s.sum(dtype=np.uint64)), int(mixed(s * _MIX[0] + _MIX[1]).sum(dtype=np.uint64))) for s in sets]
         maps = [bitmap(s).tobytes() if len(s) > 3 else b"" for s in sets]

@@ -8,7 +8,7 @@ The group sizes stay in Spark. The driver searches over a digest of their runnin
 possible, and ranges in which more such places exist than it knows. Every round brackets the capacity, from
 above by cutting at known places only and from below by cutting anywhere in the open ranges, then asks Spark
 for a finer view of just the ranges the answer depends on. It ends when both bounds meet, so the capacity is
-the exact minimum; a round brings a few thousand numbers per shard at most, whatever the data's size.
+the exact minimum; a round brings a number of cells that does not depend on the data's size.
 """
 
 from __future__ import annotations
@@ -23,9 +23,9 @@ from masterlint.llm.common import written
 SHARDS = 40
 OVERHEAD = 16
 LAW = "bytes"
-#: Cells of the first view of the running sums, and of a later view of one range.
+#: Cells of the first view of the running sums, and how many a cell becomes when looked at again.
 CELLS = 65_536
-FINER = 2_048
+FINER = 64
 #: Parts of a shard that are numbered side by side.
 LANES = 1_024
 
@@ -89,11 +89,11 @@ class Cuts:
         return sorted(found)
 
 
-def _view(ends: DataFrame, ranges: list[tuple[int, int]], fine: int) -> list[tuple[int, int, int]]:
-    """Each range cut into fine cells: the first and last end of each, and how many there are."""
+def _view(ends: DataFrame, ranges: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Each range (from, to, cells) cut into cells: the first and last end of each, and how many there are."""
     low = F.lit(None).cast("bigint")
     width = F.lit(None).cast("bigint")
-    for a, b in ranges:
+    for a, b, fine in ranges:
         inside = F.col("end").between(a, b)
         low = F.when(inside, F.lit(a)).otherwise(low)
         width = F.when(inside, F.lit(max(1, -(-(b - a + 1) // fine)))).otherwise(width)
@@ -106,30 +106,31 @@ def _view(ends: DataFrame, ranges: list[tuple[int, int]], fine: int) -> list[tup
     return [(r.a, r.b, r.n) for r in cells.select("a", "b", "n").collect()]
 
 
-def _joined(cells: list[tuple[int, int, int]], chosen: list[int]) -> list[tuple[int, int]]:
-    """The chosen cells as ranges, neighbours merged."""
-    ranges: list[tuple[int, int]] = []
+def _ranges(cells: list[tuple[int, int, int]], chosen: list[int]) -> list[tuple[int, int, int]]:
+    """The chosen cells as ranges with the number of finer cells for each, neighbours merged."""
+    ranges: list[tuple[int, int, int]] = []
     for k in chosen:
-        if ranges and k and ranges[-1][1] == cells[k - 1][1]:
-            ranges[-1] = (ranges[-1][0], cells[k][1])
+        first, last, _ = cells[k]
+        if ranges and ranges[-1][1] == cells[k - 1][1]:
+            ranges[-1] = (ranges[-1][0], last, ranges[-1][2] + FINER)
         else:
-            ranges.append((cells[k][0], cells[k][1]))
+            ranges.append((first, last, FINER))
     return ranges
 
 
 def least_capacity(ends: DataFrame, total: int, largest: int, shards: int) -> tuple[int, list[int]]:
     """The smallest capacity and the places of its cuts. ends (end): the running sums of the group sizes."""
-    cuts = Cuts(_view(ends, [(1, total)], CELLS))
+    cuts = Cuts(_view(ends, [(1, total, CELLS)]))
     while True:
         high = cuts.least(shards, cuts.known, largest)
         low = cuts.least(shards, cuts.loose, largest)
         if low >= high:
             return high, cuts.fill(high, shards, cuts.known)
         chosen = cuts.open_ranges(low, high, shards)
-        ranges = _joined(cuts.cells, chosen)
+        ranges = _ranges(cuts.cells, chosen)
         inside = set(chosen)
         rest = [c for k, c in enumerate(cuts.cells) if k not in inside]
-        cuts = Cuts([*rest, *_view(ends, ranges, FINER)])
+        cuts = Cuts([*rest, *_view(ends, ranges)])
 
 
 def assign(docs: DataFrame, shards: int = SHARDS) -> DataFrame:

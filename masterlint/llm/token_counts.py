@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 MARK = "▁"
 LIMIT = 4096
-#: Segments remembered at once, a bound on memory only: beyond it, memory starts anew.
-REMEMBERED = 300_000
+#: Segments remembered by a worker, a bound on memory only: beyond it, memory starts anew.
+REMEMBERED = 500_000
 #: A segment longer than this many characters is counted but not remembered.
 LONG_SEGMENT = 200
 _SEGMENT = re.compile(r" *[^ ]+| +")
@@ -88,6 +88,12 @@ class Counter:
         return lone + sum(map(len, self.model.encode(segments, num_threads=1)))
 
 
+@lru_cache(1)
+def counter_of(path: str) -> Counter:
+    """A worker's counter: what it has merged serves the next tasks."""
+    return Counter(path)
+
+
 def count_tokens(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
     """doc_id, n_bytes (UTF-8), n_tokens and over_limit (n_tokens > limit) of every row of docs.
 
@@ -98,7 +104,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
         raise ValueError(f"pieces of {path} cross spaces; segments can't be counted on their own")
 
     def counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(path)
+        counter = counter_of(path)
         for batch in batches:
             found = [counter.count(text) for text in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.int64())], names=["doc_id", "n_bytes", "n_tokens"])

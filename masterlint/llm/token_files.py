@@ -8,10 +8,11 @@ by doc_id; readers of the numbers never touch the ids.
 
 from __future__ import annotations
 
-import re
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -23,9 +24,25 @@ from tokenizers import Tokenizer
 from masterlint.llm.common import new_path
 
 END_ID = 0
-#: Chunks remembered at once, a bound on memory only: beyond it, memory starts anew.
-REMEMBERED = 400_000
-LONG_CHUNK = 200
+#: Chunks remembered by a worker, twice over: a bound on memory only.
+REMEMBERED = 500_000
+#: Any of these in a text, and single spaces and line ends are not its only blanks.
+BLANKS = ("  ", "\n\n", "\n ", " \n", *[chr(c) for c in range(0x110000) if chr(c).isspace() and chr(c) not in " \n"])
+#: Characters that may follow a word's letters as a pre-token of their own, and the last letter looked at one by one.
+MARKS = ",.;:!?"
+LAST_LATIN = "\u024f"
+
+
+def _byte_symbols() -> dict[int, str]:
+    """The characters that stand for bytes in a byte-level vocabulary: printable ones for themselves, the rest
+    numbered from 256 on."""
+    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(256 + n) for n, b in enumerate(others)}
+
+
+BYTE_SYMBOLS = _byte_symbols()
+SPACE_SYMBOL = BYTE_SYMBOLS[0x20]
 DOCUMENTS_AT_ONCE = 64
 FORMAT = {
     "compression": "zstd",
@@ -37,7 +54,6 @@ FORMAT = {
     "parquet.enable.dictionary": "true",
     **{f"parquet.enable.dictionary#{c}": "false" for c in ("doc_id", "part", "position", "part_start", "n_tokens")},
 }
-_RUNS = re.compile(r"\s\s|\A\s|\s\Z")
 
 
 @lru_cache(2)
@@ -48,64 +64,82 @@ def _library(path: str) -> Tokenizer:
 class Encoder:
     """Encodes texts to the bytes of little-endian 32-bit ids, as the library does for the whole text.
 
-    Byte-level pre-tokens never cross the place before a single space between two words. So a text without
-    runs of blanks is the sequence of its chunks, each a space and what follows up to the next, and a chunk
-    met before need not be encoded again. New chunks go to the library together, two line ends between each,
-    whose own token then shows where the next begins. Any other text goes to the library whole.
+    Byte-level pre-tokens end before every single space or line end between two words. So a text without runs
+    of blanks is the sequence of its lines and chunks, a chunk being a space and the word behind it, and a chunk
+    met before need not be merged again. A new chunk of letters, with or without one mark behind them, is one
+    pre-token or two, which the library's model merges; any other new chunk goes to the library as a text, and
+    so does every text with runs of blanks or special strings.
     """
 
     def __init__(self, path: str):
         self.library = _library(path)
+        self.model = self.library.model
         self.specials = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.chunks: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.firsts: dict[str, bytes] = {}
-        gap = self._encode("\n\n")
-        self.gap = int(np.frombuffer(gap, dtype="<u4")[0]) if len(gap) == 4 else None
+        self.line_end = self._encode("\n")
+        self.marks = {c: self._encode(c) for c in MARKS}
 
     def _encode(self, text: str) -> bytes:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    def _learn(self, chunks: list[str]) -> None:
-        if len(self.chunks) + len(chunks) > REMEMBERED:
-            self.chunks = {}
-        for at in range(0, len(chunks), 1024):
-            some = chunks[at : at + 1024]
-            ids = np.frombuffer(self._encode("\n\n ".join(["", *some, ""])), dtype="<u4")
-            gaps = np.flatnonzero(ids == self.gap)
-            if len(gaps) < len(some) + 1:
-                raise ValueError("the library does not keep chunks apart")
-            data = ids.tobytes()
-            for chunk, a, b in zip(some, gaps.tolist(), gaps[1:].tolist(), strict=False):
-                self.chunks[chunk] = data[4 * a + 4 : 4 * b]
+        return self._packed(self.library.encode(text, add_special_tokens=False).ids)
+
+    @staticmethod
+    def _packed(ids: list[int]) -> bytes:
+        return array("I", ids).tobytes()  # 32 bits, little-endian on every machine Spark runs on
+
+    def _learn(self, words: Iterable[str]) -> None:
+        """Remembers the ids of a space and each of the words."""
+        known, older, marks, tokenize = self.chunks, self.older, self.marks, self.model.tokenize
+        for word in words:
+            if word in older:
+                known[word] = older[word]
+                continue
+            letters, mark = word, b""
+            if word[-1] in marks:
+                letters, mark = word[:-1], marks[word[-1]]
+                if letters in known or letters in older:
+                    known[word] = (known.get(letters) or older[letters]) + mark
+                    continue
+            if letters.isalpha() and (letters.isascii() or max(letters) <= LAST_LATIN):
+                symbols = letters if letters.isascii() else letters.encode().decode("latin-1").translate(BYTE_SYMBOLS)
+                known[word] = array("I", [t.id for t in tokenize(SPACE_SYMBOL + symbols)]).tobytes() + mark
+            else:
+                known[word] = self._encode(" " + word)
+
+    def _plain(self, text: str) -> bool:
+        return not (text[0].isspace() or text[-1].isspace() or any(s in text for s in BLANKS) or any(s in text for s in self.specials))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        split: list[list[str] | None] = []
-        for text in texts:
-            plain = text and self.gap is not None and not _RUNS.search(text) and not any(s in text for s in self.specials)
-            split.append(text.split(" ") if plain else None)
-        known = self.chunks
-        new = {c for words in split if words for c in words[1:] if c not in known and len(c) <= LONG_CHUNK}
-        if new:
-            if len(known) + len(new) > REMEMBERED:  # what these texts hold must be known together
-                new = {c for words in split if words for c in words[1:] if len(c) <= LONG_CHUNK}
-                self.chunks = {}
-            self._learn(list(new))
-        return [self._one(text, words) for text, words in zip(texts, split, strict=True)]
-
-    def _one(self, text: str | None, words: list[str] | None) -> bytes:
+        split = [[line.split(" ") for line in text.split("\n")] if text and self._plain(text) else None for text in texts]
+        if len(self.chunks) > REMEMBERED:  # what is not met again before the next time is forgotten
+            self.older, self.chunks = self.chunks, {}
+        if len(self.firsts) > REMEMBERED // 4:
+            self.firsts = {}
+        met: set[str] = set()
+        for words in chain.from_iterable(filter(None, split)):
+            met.update(islice(words, 1, None))
+        self._learn(met.difference(self.chunks))
+        return [self._one(text, lines) for text, lines in zip(texts, split, strict=True)]
+
+    def _one(self, text: str | None, lines: list[list[str]] | None) -> bytes:
         if not text:
             return b""
-        if words is None:
+        if lines is None:
             return self._encode(text)
-        first = words[0]
-        if first not in self.firsts:
-            if len(self.firsts) > REMEMBERED // 4:
-                self.firsts = {}
-            self.firsts[first] = self._encode(first)
-        try:
-            return self.firsts[first] + b"".join(map(self.chunks.__getitem__, words[1:]))
-        except KeyError:
-            return self.firsts[first] + b"".join(self.chunks.get(c) or self._encode(" " + c) for c in words[1:])
+        return self.line_end.join([self._first(words[0]) + b"".join(map(self.chunks.__getitem__, words[1:])) for words in lines])
+
+    def _first(self, word: str) -> bytes:
+        found = self.firsts.get(word)
+        if found is None:
+            self.firsts[word] = found = self._encode(word)
+        return found
+
+
+@lru_cache(1)
+def encoder_of(path: str) -> Encoder:
+    """A worker's encoder: what it has learned serves the next tasks."""
+    return Encoder(path)
 
 
 def encoded(docs: DataFrame, path: str) -> DataFrame:
@@ -113,7 +147,7 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, position, start = Encoder(path), TaskContext.get().partitionId(), 0, 0
+        encoder, part, position, start = encoder_of(path), TaskContext.get().partitionId(), 0, 0
         end = np.array([END_ID], dtype="<u4").tobytes()
         for batch in batches:
             for at in range(0, batch.num_rows, DOCUMENTS_AT_ONCE):
