@@ -4,7 +4,7 @@ Texts link when their sets of five-word shingles share at least 80 % of their un
 
 Routing. In the order of the shingles' hashes, two linked sets have the same two shingles next to each other
 somewhere near the front: a union's shingle is missing from one of both with a chance of at most one in five,
-so among the first RUNS places some two neighbours are shared but for a chance below 1e-15 (for sets of up to
+so among the first RUNS places some two neighbours are shared but for a chance below 1e-11 (for sets of up to
 RUNS shingles: always). The hash of every such pair of neighbours is a bucket key.
 
 Trees. Each bucket's sets form a signature tree: a leaf holds the token bitmaps of some sets, a node the OR of
@@ -32,7 +32,7 @@ from masterlint.llm.common import components, row_groups, written
 
 WORDS = 5
 PERCENT = 80
-RUNS = 50
+RUNS = 40
 BITS_PER_SHINGLE = 4
 BLOCK = 4_096
 LEAF = 32
@@ -312,8 +312,12 @@ def cluster(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     of_sets = prints.where("n > 0").groupBy("s1", "s2").agg(F.min("number").alias("node"), F.count("*").alias("copies"))
     sets = written(of_sets, "shingle-sets")
 
-    kept = prints.where("n > 3").select("number", "s1", "s2", "n", "keys", "bits")
-    nodes = written(kept.join(sets.drop("copies"), ["s1", "s2"]).where("number = node").select("node", "n", "keys", "bits"), "shingle-nodes")
+    # the keys and bitmaps stay where they are: only the rows that repeat a set are looked up
+    repeated = sets.where("copies > 1").select("s1", "s2", "node")
+    again = prints.where("n > 3").select("number", "s1", "s2").join(repeated, ["s1", "s2"]).where("number <> node")
+    again = written(again.select("number", "s1").distinct(), "repeated-sets")
+    nodes = prints.where("n > 3").join(again, ["number", "s1"], "left_anti").selectExpr("number AS node", "n", "keys", "bits")
+    nodes = written(nodes, "shingle-nodes")
     rows = nodes.select("node", F.explode("keys").alias("key"))
     sizes = rows.groupBy("key").agg(F.count("*").alias("size"), F.bit_xor(F.xxhash64("node")).alias("who")).where("size > 1")
     # buckets of the same sets are one bucket
