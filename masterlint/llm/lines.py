@@ -1,9 +1,9 @@
 """Removal of equal and similar lines, as DataFrame operations.
 
-A line's signature holds the smallest hashes of its character shingles, 16 characters from each word's start
+A line's signature holds the smallest hashes of its character shingles, 20 characters from each word's start
 on, so that one pass over the text yields a sample of shingles spread over the line. Each value of a signature
 is a band: lines that share one are compared with the first line of their band, exactly, by the Jaccard
-similarity of all their 5-character shingles. A band whose lines don't all resemble its first is dealt anew, without
+similarity of all their 5-character shingles; lines of which one is more than a fourth longer are not similar. A band whose lines don't all resemble its first is dealt anew, without
 that first line, by pairs of shared values, then by triples. The links' components are found by distributed
 union-find; of each the line with the smallest (doc_id, line number) stays.
 """
@@ -15,25 +15,23 @@ from pyspark.sql import functions as F
 
 from masterlint.llm.common import components, let, written
 
-SIGNATURE = 6
-SAMPLED_CHARS = 16
+SIGNATURE = 5
+SAMPLED_CHARS = 20
 SHINGLE = 5
 PERCENT = 80
 LEVELS = 3
 
 
 def lines(docs: DataFrame) -> DataFrame:
-    """doc_id, line_no (from 0), line_id, line (lower case, outer blanks off), digest and signature of all lines
-    that are not blank, written once. line_id is unique in the table."""
+    """doc_id, line_no (from 0), line (lower case, outer blanks off), line_id, crc and signature of all lines
+    that are not blank, written once. line_id is a 64-bit hash of the line; with the 32 bits of crc it says
+    which lines are equal."""
     each = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "raw"))
     trimmed = each.selectExpr("doc_id", "line_no", "lower(trim(BOTH ' \\t\\r' FROM raw)) AS line").where("line <> ''")
-    windows = f"regexp_extract_all(line, '(?<![^ ])(?=(.{{{SAMPLED_CHARS}}}))', 1)"
+    windows = f"regexp_extract_all(line, '(?=(.{{{SAMPLED_CHARS}}}))[^ ]*+ *+', 1)"
     hashes = let(windows, "w", "transform(IF(size(w) = 0, array(line), w), x -> xxhash64(x))")
     signature = f"slice(sort_array(array_distinct({hashes})), 1, {SIGNATURE})"
-    return written(
-        trimmed.selectExpr("doc_id", "line_no", "monotonically_increasing_id() AS line_id", "line", "unhex(md5(line)) AS digest", f"{signature} AS signature"),
-        "lines",
-    )
+    return written(trimmed.selectExpr("doc_id", "line_no", "line", "xxhash64(line) AS line_id", "crc32(line) AS crc", f"{signature} AS signature"), "lines")
 
 
 def _grams(line: str) -> str:
@@ -42,33 +40,33 @@ def _grams(line: str) -> str:
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose lines have a Jaccard similarity of PERCENT or more."""
+    """The pairs (a, b) whose lines are similar."""
     with_a = pairs.join(texts.select(F.col("line_id").alias("a"), F.col("line").alias("line_a")), "a")
     both = with_a.join(texts.select(F.col("line_id").alias("b"), F.col("line").alias("line_b")), "b")
-    grams = both.selectExpr("a", "b", f"{_grams('line_a')} AS ga", f"{_grams('line_b')} AS gb")
+    long = both.where("4 * greatest(char_length(line_a), char_length(line_b)) <= 5 * least(char_length(line_a), char_length(line_b))")
+    grams = long.selectExpr("a", "b", f"{_grams('line_a')} AS ga", f"{_grams('line_b')} AS gb")
     shared = let("size(array_intersect(ga, gb))", "s", f"100 * s >= {PERCENT} * (size(ga) + size(gb) - s)")
-    return grams.where(f"100 * least(size(ga), size(gb)) >= {PERCENT} * greatest(size(ga), size(gb))").where(shared).select("a", "b")
+    return grams.where(shared).select("a", "b").distinct()
 
 
 def _bands(keyed: DataFrame) -> DataFrame:
-    """key, size and pivot (the smallest line_id) of the bands of keyed (key, line_id) with two lines or more;
-    of bands with the same lines one."""
-    sizes = keyed.groupBy("key").agg(
-        F.count("*").alias("size"), F.bit_xor(F.xxhash64("line_id")).alias("who"), F.min("line_id").alias("pivot")
-    )
-    return sizes.where("size > 1").groupBy("size", "who", "pivot").agg(F.min("key").alias("key")).select("key", "pivot")
+    """key and pivot (the smallest line_id) of the values of keyed (key, line_id) with two different lines or
+    more. Equal lines are combined before the shuffle, however many there are."""
+    ends = keyed.groupBy("key").agg(F.min("line_id").alias("pivot"), F.max("line_id").alias("last"))
+    return ends.where("pivot < last").select("key", "pivot")
 
 
 def links(distinct: DataFrame, texts: DataFrame) -> DataFrame:
-    """Verified links (a, b) between lines of distinct (line_id, signature)."""
+    """Verified links (a, b) between lines of distinct (line_id, signature), in which lines may come repeatedly;
+    texts: line_id and line."""
     found: list[DataFrame] = []
-    keyed = distinct.select("line_id", "signature", F.explode("signature").alias("key"))
+    keyed = distinct.select("line_id", F.explode("signature").alias("key"))
     for level in range(1, LEVELS + 1):
         bands = written(_bands(keyed.select("key", "line_id")), "bands")
-        members = written(keyed.join(bands, "key"), "band-lines")
+        members = written(keyed.join(bands, "key").distinct(), "band-lines")
         candidates = members.where("line_id <> pivot").selectExpr("line_id AS a", "pivot AS b").distinct()
         ids = candidates.selectExpr("a AS line_id").unionByName(candidates.selectExpr("b AS line_id")).distinct()
-        compared = written(texts.join(ids, "line_id", "left_semi"), "compared-lines")
+        compared = written(texts.join(ids, "line_id", "left_semi").groupBy("line_id").agg(F.min("line").alias("line")), "compared-lines")
         verified = written(_verified(candidates, compared), "line-links")
         found.append(verified)
         if level == LEVELS:
@@ -76,10 +74,12 @@ def links(distinct: DataFrame, texts: DataFrame) -> DataFrame:
         linked = verified.select(F.col("a").alias("line_id"), F.col("b").alias("pivot"), F.lit(True).alias("linked"))
         rest = members.where("line_id <> pivot").join(linked, ["line_id", "pivot"], "left")
         mixed = rest.where("linked IS NULL").select("key").distinct()
-        again = rest.join(mixed, "key", "left_semi").select("line_id", "signature", "key")
+        again = rest.join(mixed, "key", "left_semi").select("line_id", "key")
+        signatures = distinct.join(again.select("line_id").distinct(), "line_id", "left_semi").distinct()
+        again = again.join(signatures, "line_id")
         keyed = again.select("line_id", "signature", F.explode(F.expr("filter(signature, x -> x <> key)")).alias("value"), "key")
         # the same lines meet under either order of the values, so the key does not depend on it
-        keyed = keyed.selectExpr("line_id", "signature", "xxhash64(key ^ value, least(key, value)) AS key").distinct()
+        keyed = written(keyed.selectExpr("line_id", "xxhash64(key ^ value, least(key, value)) AS key").distinct(), "band-keys")
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
@@ -95,16 +95,17 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     columns are ignored; whole lines count, however long.
     """
     table = lines(docs)
-    first = F.min(F.struct("line_id", "signature")).alias("first")
-    distinct = table.groupBy("digest").agg(first, F.count("*").alias("copies"))
-    distinct = written(distinct.select("digest", "copies", "first.line_id", "first.signature"), "distinct-lines")
-    roots = components(links(distinct.select("line_id", "signature"), table.select("line_id", "line")), "line-components")
-    grouped = distinct.join(roots.withColumnRenamed("node", "line_id"), "line_id", "left").where("copies > 1 OR root IS NOT NULL")
-    of_digest = written(grouped.select("digest", F.coalesce("root", "line_id").alias("root")), "line-groups")
-    members = written(table.select("doc_id", "line_no", "digest").join(of_digest, "digest").drop("digest"), "group-lines")
+    found = links(table.select("line_id", "signature"), table.select("line_id", "line"))
+    roots = components(found, "line-components").withColumnRenamed("node", "line_id")
+    copies = table.groupBy("line_id", "crc").agg(F.count("*").alias("copies"))
+    grouped = copies.join(roots, "line_id", "left").where("copies > 1 OR root IS NOT NULL")
+    # lines that only share line_id and link with nothing are told apart by crc
+    group = "IF(root IS NULL, struct(line_id AS a, crc AS b), struct(root AS a, -1L AS b))"
+    of_line = written(grouped.select("line_id", "crc", F.expr(group).alias("group")), "line-groups")
+    members = written(table.select("doc_id", "line_no", "line_id", "crc").join(of_line, ["line_id", "crc"]).drop("line_id", "crc"), "group-lines")
     rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "line_no")
-    kept = written(members.groupBy("root").agg(F.min(rank).alias("kept")).selectExpr("root", "kept.doc_id AS kept_doc_id", "kept.line_no AS kept_line_no"), "kept-lines")
-    pairs = members.join(kept, "root").where("NOT (doc_id <=> kept_doc_id AND line_no = kept_line_no)")
+    kept = written(members.groupBy("group").agg(F.min(rank).alias("kept")).selectExpr("group", "kept.doc_id AS kept_doc_id", "kept.line_no AS kept_line_no"), "kept-lines")
+    pairs = members.join(kept, "group").where("NOT (doc_id <=> kept_doc_id AND line_no = kept_line_no)")
     return pairs.select("doc_id", "line_no", "kept_doc_id", "kept_line_no")
 
 
