@@ -14,6 +14,52 @@ from masterlint.llm import decontamination, jaccard_join, language, lines, mixin
 from masterlint.llm.queries import tokenizer
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
+TINY = "/root/testdata/sf0.001"
+SMALL = "/root/testdata/sf0.01"
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+
+@pytest.fixture(scope="session")
+def tiny(spark):
+    return spark.read.parquet(f"{TINY}/documents.parquet")
+
+
+@pytest.fixture(scope="session")
+def small(spark):
+    return spark.read.parquet(f"{SMALL}/documents.parquet")
+
+
+@pytest.fixture(scope="session")
+def odd(spark):
+    """Nulls in every column, empty, blank and very long texts, repeated rows, ties, and columns whose names
+    the operators use themselves."""
+    source = random.Random(3)
+    words = ["the", "of", "Éa", "über", "x1", "42", "don't", "a_b", "naïve", "…", "日本", "##"]
+    long = " ".join(source.choice(words) + str(source.randrange(500)) for _ in range(30_000))
+    base = " ".join(source.choice(words) + str(i) for i in range(60))
+    texts = [
+        None,
+        "",
+        " \t\n",
+        "one",
+        "one two three four five",
+        base,
+        base,
+        base + " more",
+        base.upper(),
+        long,
+        long + " end",
+        "  two  spaces\n\nand lines \r\n here ",
+        "12 34 !!",
+        "tab\tand\x0bvt\x0cff",
+        "a▁b   c d <|endoftext|> <s>",
+        "same line of at least eight words is here.\nsame line of at least eight words is here.",
+    ]
+    rows = [(i, t, ["en", None, "xx"][i % 3], ["s", None, "t"][i % 3], len(t or "")) for i, t in enumerate(texts)]
+    rows += [rows[5], rows[5], (None, base, None, None, None), (None, None, None, None, None), (None, "one", "en", "s", 3)]
+    rows = [(*r, 1, 2, "x", True) for r in rows]
+    return spark.createDataFrame(rows, SCHEMA + ", size int, component_id int, line string, score boolean")
+
 
 
 def rows_of(df):
