@@ -26,9 +26,6 @@ from masterlint.rules.model import Computed, Keys, Pairs, Part, Repeats, Rows, R
 from masterlint.sources.catalog import Catalog
 from masterlint.sources.schemas import SOURCES
 
-# Beyond this many conditions a pre-filter costs more than the rows it drops.
-PREFILTER_LIMIT = 6
-
 
 @dataclass(frozen=True, eq=False)
 class Slot:
@@ -102,11 +99,11 @@ class _Counters:
         ]
 
     def source(self, catalog: Catalog) -> DataFrame:
-        """The table, without rows that no counter can count."""
+        """The table; a lone counter's condition reaches the scan as its filter."""
         df = catalog.table(self.table)
-        if ALWAYS in self.names or len(self.names) > PREFILTER_LIMIT:
+        if ALWAYS in self.names or len(self.names) > 1:
             return df
-        return df.filter(F.expr(either(*self.names)))
+        return df.filter(F.expr(*self.names))
 
 
 def _row_frames(catalog: Catalog, slots: list[Slot]) -> list[DataFrame]:

@@ -43,6 +43,11 @@ def zone_plants(offsets: range, zones: tuple[str, ...] = ("1", "3", "4")) -> tup
 
 SALES_PLANTS = (*zone_plants(range(3)), *PLATFORMS)
 STOCK_PLANTS = zone_plants(range(3, 8))
+# Plants without special procurement, plants an external platform supplies, plants without a
+# strategy group.
+UNPROCURED_PLANTS = ("6443", "6444", "6445", "6343", "6344", "6345", "6243", "6244", "6245")
+EXTERNAL_PLANTS = {"4400": ("6444", "6344", "6244"), "4300": ("6443", "6343", "6243")}
+MADE_TO_STOCK_PLANTS = ("6443", "6444", "6445", "6340", "6341", "6342", "6343", "6344", "6345")
 # Plants whose replenishment settings are checked.
 REPLENISHED_PLANTS = ("6440", "6441", "6442", "4300", "4400", "6340", "6341", "6342", "6242")
 
@@ -277,7 +282,7 @@ def _plants() -> list[Rule]:
     )
     # Special procurement keys and the plant each must not be used in.
     procurement_fits = both(
-        f"WERKS NOT IN {listed(zone_plants(range(3, 6)))}",
+        f"WERKS NOT IN {listed(UNPROCURED_PLANTS)}",
         either(
             "SOBSL = '42' AND WERKS <> '6442'",
             "SOBSL = 'Z4' AND WERKS <> '4400'",
@@ -287,8 +292,8 @@ def _plants() -> list[Rule]:
     )
     external_fits = either(
         *[
-            both(is_in("LGFSB", zone_plants(range(offset, offset + 1))), f"WERKS = '{platform}'")
-            for platform, offset in PLATFORM_OFFSET.items()
+            both(is_in("LGFSB", plants), f"WERKS = '{platform}'")
+            for platform, plants in EXTERNAL_PLANTS.items()
         ],
         "LGFSB = WERKS",
     )
@@ -297,7 +302,7 @@ def _plants() -> list[Rule]:
         either(
             both(is_in("WERKS", SALES_PLANTS), "STRGR = '40'"),
             both(
-                is_in("WERKS", (*zone_plants(range(3, 6), ("1",)), *zone_plants(range(6), ("4",)))),
+                is_in("WERKS", MADE_TO_STOCK_PLANTS),
                 missing("STRGR", or_empty=True),
             ),
         ),

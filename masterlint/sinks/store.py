@@ -60,5 +60,25 @@ class Store:
         return self.read(DIMENSION).select(*DIMENSION_SCHEMA.names)
 
     def replace_cube(self, dimension: DataFrame, first_day: str | None = None, last_day: str | None = None) -> DataFrame:
-        self.write(CUBE, daily_cube(self.results(first_day, last_day), dimension), "overwrite")
-        return self.read(CUBE)
+        """The cube, of which the chosen days (default: all days with results) are written anew.
+
+        A day is a partition, and only the partitions written are replaced, when all of them are complete: other
+        days stay, and a failed job leaves the cube as it was.
+        """
+        cube = daily_cube(self.results(first_day, last_day), dimension)
+        order = cube.columns
+        cube = cube.select(*[c for c in order if c != PARTITION], PARTITION)
+        if self.database and self.spark.catalog.tableExists(f"{self.database}.{CUBE}"):
+            cube.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(f"{self.database}.{CUBE}")
+        elif self.database:
+            self.write(CUBE, cube, "overwrite", PARTITION)
+        else:
+            writer = cube.write.mode("overwrite").partitionBy(PARTITION)
+            writer.option("partitionOverwriteMode", "dynamic").parquet(f"{self.root}/{CUBE}")
+        return self.read(CUBE).select(*order)
+
+    def has(self, name: str) -> bool:
+        if self.database:
+            return self.spark.catalog.tableExists(f"{self.database}.{name}")
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)

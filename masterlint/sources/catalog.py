@@ -27,7 +27,7 @@ class Catalog:
     def of_parquet(cls, spark: SparkSession, root: str) -> Catalog:
         def load(code: str) -> DataFrame:
             source = SOURCES[code]
-            return spark.read.schema(source.schema).parquet(f"{root}/{source.table}")
+            return spark.read.parquet(f"{root}/{source.table}")
 
         return cls(spark, load)
 
@@ -46,7 +46,11 @@ class Catalog:
 
     def _prepare(self, code: str) -> DataFrame:
         source = SOURCES[code]
-        df = self._load(code).selectExpr(
+        loaded = self._load(code)
+        there = {name.upper() for name in loaded.columns}
+        if missing := [name for name in source.schema.names if name.upper() not in there]:
+            raise ValueError(f"{source.table} has no column {', '.join(missing)}")
+        df = loaded.selectExpr(
             *[f"cast({field.name} AS {field.dataType.simpleString()}) AS {field.name}" for field in source.schema]
         )
         if source.key == "MATNR":

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import types as T
 
 QUANTITY = T.DecimalType(13, 3)
-COUNT = T.IntegerType()
+COUNT = T.LongType()
 
 
 @dataclass(frozen=True)

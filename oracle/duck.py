@@ -87,51 +87,50 @@ def staging(codes: Iterable[str]) -> list[str]:
 
 
 GROUP_FLAGS = """
-    SELECT b.MATNR, b.BISMT, b.ZZSUSTITUTO,
-        (b.BISMT IS NOT NULL AND (length(b.BISMT) <> 6 OR regexp_matches(b.BISMT, '[^0-9]'))) AS formato_bismt,
-        (b.ZZSUSTITUTO IS NOT NULL AND (b.BISMT IS NULL OR b.BISMT = '')) AS bismt_nulo_con_switch,
-        (b.BISMT IS NOT NULL AND g.BISMT IS NOT NULL AND ((g.n_mat = 1 AND g.n_sw <> 0)
-            OR (g.n_mat > 1 AND g.n_sw <> g.n_mat - 1))) AS grupo_n_vs_nmenos1,
-        (b.BISMT IS NOT NULL AND b.ZZSUSTITUTO IS NOT NULL
-            AND NOT list_contains(g.members, b.ZZSUSTITUTO)) AS switch_fuera_de_grupo
-    FROM (SELECT MATNR5(m) AS MATNR, BISMT, right(lpad(ZZSUSTITUTO,18,'0'),5) AS ZZSUSTITUTO FROM M AS m WHERE MT) b
-    LEFT JOIN (
-        SELECT BISMT, count(DISTINCT MATNR) AS n_mat, count_if(ZZSUSTITUTO IS NOT NULL) AS n_sw,
-            array_agg(DISTINCT MATNR) AS members
-        FROM (SELECT MATNR5(m) AS MATNR, BISMT, ZZSUSTITUTO FROM M AS m WHERE MT AND BISMT IS NOT NULL)
-        GROUP BY BISMT
-    ) g ON b.BISMT = g.BISMT"""
+    SELECT MATNR, BISMT, ZZSUSTITUTO,
+        coalesce(NOT regexp_full_match(BISMT, '[0-9]{6}'), FALSE) AS formato_bismt,
+        ZZSUSTITUTO IS NOT NULL AND coalesce(BISMT, '') = '' AS bismt_nulo_con_switch,
+        BISMT IS NOT NULL AND of_group > 0 AND switched <> of_group - 1 AS grupo_n_vs_nmenos1,
+        BISMT IS NOT NULL AND ZZSUSTITUTO IS NOT NULL AND NOT EXISTS (
+            SELECT 1 FROM M AS m WHERE MT AND m.BISMT = item.BISMT AND MATNR5(m) = item.ZZSUSTITUTO) AS switch_fuera_de_grupo
+    FROM (
+        SELECT MATNR5(m) AS MATNR, BISMT, right(lpad(ZZSUSTITUTO, 18, '0'), 5) AS ZZSUSTITUTO,
+            count(DISTINCT MATNR5(m)) OVER (PARTITION BY BISMT) AS of_group, count(ZZSUSTITUTO) OVER (PARTITION BY BISMT) AS switched
+        FROM M AS m WHERE MT
+    ) AS item"""
 
 LINKS = """
-    SELECT b1.MATNR, b1.BISMT, b1.ZZSUSTITUTO, b2.BISMT AS BISMT_SUSTITUTO,
-        CASE WHEN left(b1.MATNR,1) <> left(b1.ZZSUSTITUTO,1) THEN 'error_temperatura'
-            WHEN b1.BISMT IS NULL OR b1.BISMT = '' THEN 'error_sin_codigo_agrupador'
-            WHEN b2.MATNR IS NULL THEN 'error_sustituto_no_existe'
-            WHEN b1.BISMT <> b2.BISMT THEN 'error_bismt_distinto' END AS tipo_error
-    FROM (SELECT MATNR5(m) AS MATNR, BISMT, right(lpad(ZZSUSTITUTO,18,'0'),5) AS ZZSUSTITUTO FROM M AS m) b1
-    LEFT JOIN (SELECT MATNR5(m) AS MATNR, BISMT FROM M AS m) b2 ON b1.ZZSUSTITUTO = b2.MATNR
-    WHERE b1.ZZSUSTITUTO IS NOT NULL"""
+    SELECT MATNR, BISMT, ZZSUSTITUTO, BISMT_SUSTITUTO, coalesce(climate, ungrouped, unknown, regrouped) AS tipo_error
+    FROM (
+        SELECT link.*, target.BISMT AS BISMT_SUSTITUTO,
+            if(link.MATNR[1] <> link.ZZSUSTITUTO[1], 'error_temperatura', NULL) AS climate,
+            if(coalesce(link.BISMT, '') = '', 'error_sin_codigo_agrupador', NULL) AS ungrouped,
+            if(target.MATNR IS NULL, 'error_sustituto_no_existe', NULL) AS unknown,
+            if(link.BISMT <> target.BISMT, 'error_bismt_distinto', NULL) AS regrouped
+        FROM (SELECT MATNR5(m) AS MATNR, BISMT, right(lpad(ZZSUSTITUTO, 18, '0'), 5) AS ZZSUSTITUTO FROM M AS m WHERE ZZSUSTITUTO IS NOT NULL) AS link
+        LEFT JOIN (SELECT MATNR5(m) AS MATNR, BISMT FROM M AS m) AS target ON target.MATNR = link.ZZSUSTITUTO
+    )"""
 
 PACKS = """
-    SELECT MATNR5(m) AS MATNR, max(CASE WHEN MEINH = 'PAL' THEN UMREZ END) AS umrez_pal,
-        max(CASE WHEN MEINH = 'CAP' THEN UMREZ END) AS umrez_cap, max(CASE WHEN MEINH = 'CS' THEN UMREZ END) AS umrez_cj
-    FROM M AS m JOIN R AS r ON m.MATNR = r.MATNR
-    WHERE MT AND r.MEINH IN ('PAL','CAP','CS') GROUP BY 1"""
-PALLET_WRONG = "mod(umrez_pal, nullif(umrez_cap, 0)) <> 0 OR mod(umrez_pal, nullif(umrez_cj, 0)) <> 0"
-LAYER_WRONG = "mod(umrez_pal, nullif(umrez_cap, 0)) <> 0 OR mod(umrez_cap, nullif(umrez_cj, 0)) <> 0"
+    SELECT MATNR5(m) AS MATNR, max(UMREZ) FILTER (MEINH = 'PAL') AS umrez_pal,
+        max(UMREZ) FILTER (MEINH = 'CAP') AS umrez_cap, max(UMREZ) FILTER (MEINH = 'CS') AS umrez_cj
+    FROM R JOIN M AS m USING (MATNR) WHERE MT AND list_contains(['CAP', 'CS', 'PAL'], MEINH) GROUP BY ALL"""
+PALLET_WRONG = "len(list_filter([umrez_cap, umrez_cj], lambda x: umrez_pal % nullif(x, 0) <> 0)) > 0"
+LAYER_WRONG = "len(list_filter([umrez_pal % nullif(umrez_cap, 0), umrez_cap % nullif(umrez_cj, 0)], lambda x: x <> 0)) > 0"
 
 ROLES = """
-    SELECT LIFNR, count(*) FILTER (role = 'BA') AS NUM_DP, count(*) FILTER (role = 'LF') AS NUM_PR,
-        count(*) FILTER (role = 'RS') AS NUM_EF,
-        count(*) FILTER (role = 'ZE') AS NUM_ZE, count(*) FILTER (role = 'ZO') AS NUM_ZO
-    FROM (SELECT LIFNR, upper(trim(coalesce(PARVW,''))) AS role FROM W AS w WHERE VS(w)) GROUP BY LIFNR"""
-ROLES_WRONG = "NUM_DP = 0 OR NUM_PR = 0 OR NUM_EF = 0 OR NUM_ZE = 0 OR NUM_ZO > 0"
+    SELECT LIFNR, len(list_filter(held, lambda x: x = 'BA')) AS NUM_DP, len(list_filter(held, lambda x: x = 'LF')) AS NUM_PR,
+        len(list_filter(held, lambda x: x = 'RS')) AS NUM_EF, len(list_filter(held, lambda x: x = 'ZE')) AS NUM_ZE,
+        len(list_filter(held, lambda x: x = 'ZO')) AS NUM_ZO
+    FROM (SELECT LIFNR, list(upper(trim(coalesce(PARVW, '')))) AS held FROM W AS w WHERE VS(w) GROUP BY ALL)"""
+ROLES_WRONG = "least(NUM_DP, NUM_PR, NUM_EF, NUM_ZE) = 0 OR NUM_ZO <> 0"
 
 REFERENCES = """
-    SELECT DISTINCT v.LIFNR, v.NAME1, w.PARVW, w.LIFN2 FROM W AS w JOIN V AS v ON w.LIFNR = v.LIFNR
-    WHERE VS(v) AND ((upper(trim(coalesce(PARVW,''))) IN ('DP','PR','EF')
-            AND trim(coalesce(LIFN2,'')) <> trim(coalesce(v.LIFNR,'')))
-        OR (upper(trim(coalesce(PARVW,''))) = 'ZE' AND NOT starts_with(upper(trim(coalesce(LIFN2,''))), '0C0')))"""
+    SELECT v.LIFNR, NAME1, PARVW, LIFN2 FROM V AS v JOIN W AS w USING (LIFNR)
+    WHERE VS(v) AND list_contains(['DP', 'EF', 'PR'], upper(trim(PARVW))) AND trim(coalesce(LIFN2, '')) <> trim(coalesce(v.LIFNR, ''))
+    UNION
+    SELECT v.LIFNR, NAME1, PARVW, LIFN2 FROM V AS v JOIN W AS w USING (LIFNR)
+    WHERE VS(v) AND upper(trim(PARVW)) = 'ZE' AND coalesce(upper(trim(LIFN2)) NOT LIKE '0C0%', TRUE)"""
 
 MATERIAL_COPIES = "SELECT MATNR, count(*) AS total_ocurrencias FROM M GROUP BY MATNR HAVING count(*) > 1"
 VENDOR_COPIES = (

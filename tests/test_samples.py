@@ -27,7 +27,9 @@ def test_rule_ids():
 
 
 def test_every_query_has_a_check():
-    assert set(entry_point.queries()) == set(entry_point.oracle_sql())
+    own = {name for name in entry_point.queries() if name.split("_")[0] in ("rule", "viol", "suite", "daily")}
+    assert len(own) == 2 * len(RULES) + len(DOMAINS) + 1
+    assert own <= set(entry_point.oracle_sql())
 
 
 @pytest.mark.parametrize("domain", DOMAINS)
