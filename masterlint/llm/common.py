@@ -44,6 +44,13 @@ def let(value: str, name: str, body: str) -> str:
     return f"element_at(transform(array({value}), {name} -> {body}), 1)"
 
 
+def pieces(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """batches in slices of a few rows, so that only their texts are Python objects at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def row_groups(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """Runs of equal keys in batches that are sorted by the keys; holds one run and one batch at a time."""
     held: list[pa.RecordBatch] = []

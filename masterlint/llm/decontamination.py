@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from masterlint.llm.common import pieces
+
 EDIT_RATE = 0.05
 RECALL = 0.99
 SAMPLED = 2
@@ -236,7 +238,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     def searching(finder: Finder):
         def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in pieces(batches):
                 at, rows = [], []
                 for i, found in enumerate(finder.find(batch.column(1).to_pylist())):
                     for n, (edits, start, stop) in sorted(found.items()):
@@ -266,7 +268,7 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     def keeping(finder: Finder):
         def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in pieces(batches):
                 yield batch.filter(pa.array([not found for found in finder.find(batch.column(place).to_pylist())]))
 
         return keep

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from masterlint.llm.common import components, row_groups, written
+from masterlint.llm.common import components, pieces, row_groups, written
 
 WORDS = 5
 PERCENT = 80
@@ -277,7 +277,7 @@ def _grouped(rows: DataFrame, order: list[str], search: Callable) -> DataFrame:
 
 
 def _fingerprints(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in pieces(batches):
         sets = [shingler()(text) for text in batch.column(2).to_pylist()]
         with np.errstate(over="ignore"):
             sums = [(int(s.sum(dtype=np.uint64)), int(mixed(s * _MIX[0] + _MIX[1]).sum(dtype=np.uint64))) for s in sets]

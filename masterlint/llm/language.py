@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from masterlint.llm.common import pieces
+
 UNKNOWN = "und"
 DIMENSIONS = 512
 SEED = 20240
@@ -74,7 +76,7 @@ def _profiles(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_pydict({"lang": [lang], "profile": [profile.tolist()]})
         totals.clear()
 
-    for batch in batches:
+    for batch in pieces(batches):
         for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             ids, counts = trigrams(text)
             if not len(ids):
@@ -127,7 +129,7 @@ def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], keep: list[str]
 
     def answers(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         predict = predictor(prototypes)
-        for batch in batches:
+        for batch in pieces(batches):
             found = [predict(text) for text in batch.column(batch.num_columns - 1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())],

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from masterlint.llm.common import written
+from masterlint.llm.common import pieces, written
 
 #: A unit of fewer words is too common to be called a copy by itself.
 LEAST_WORDS = 8
@@ -42,7 +42,7 @@ def units(docs: DataFrame) -> DataFrame:
     id_type = docs.schema["doc_id"].dataType
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             ids, starts, stops, digests = [], [], [], []
             for at, text in enumerate(batch.column(1).to_pylist()):
                 for start, stop in spans(text or ""):

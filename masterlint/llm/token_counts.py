@@ -17,6 +17,8 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from masterlint.llm.common import pieces
+
 MARK = "▁"
 LIMIT = 4096
 #: Segments remembered by a worker, a bound on memory only: beyond it, memory starts anew.
@@ -105,7 +107,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
 
     def counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = counter_of(path)
-        for batch in batches:
+        for batch in pieces(batches):
             found = [counter.count(text) for text in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.int64())], names=["doc_id", "n_bytes", "n_tokens"])
 
