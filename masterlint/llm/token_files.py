@@ -88,6 +88,15 @@ class Encoder:
     def _packed(ids: list[int]) -> bytes:
         return array("I", ids).tobytes()  # 32 bits, little-endian on every machine Spark runs on
 
+    @staticmethod
+    def _symbols(letters: str) -> str | None:
+        """The model's symbols for what is one pre-token for sure, a word of Latin letters."""
+        if not letters.isalpha():
+            return None
+        if letters.isascii():
+            return letters
+        return letters.encode().decode("latin-1").translate(BYTE_SYMBOLS) if max(letters) <= LAST_LATIN else None
+
     def _learn(self, words: Iterable[str]) -> None:
         """Remembers the ids of a space and each of the words."""
         known, older, marks, tokenize = self.chunks, self.older, self.marks, self.model.tokenize
@@ -101,8 +110,7 @@ class Encoder:
                 if letters in known or letters in older:
                     known[word] = (known.get(letters) or older[letters]) + mark
                     continue
-            if letters.isalpha() and (letters.isascii() or max(letters) <= LAST_LATIN):
-                symbols = letters if letters.isascii() else letters.encode().decode("latin-1").translate(BYTE_SYMBOLS)
+            if symbols := self._symbols(letters):
                 known[word] = array("I", [t.id for t in tokenize(SPACE_SYMBOL + symbols)]).tobytes() + mark
             else:
                 known[word] = self._encode(" " + word)
@@ -132,7 +140,10 @@ class Encoder:
     def _first(self, word: str) -> bytes:
         found = self.firsts.get(word)
         if found is None:
-            self.firsts[word] = found = self._encode(word)
+            letters, mark = (word[:-1], self.marks[word[-1]]) if word[-1:] in self.marks else (word, b"")
+            symbols = self._symbols(letters)
+            found = self._packed([t.id for t in self.model.tokenize(symbols)]) + mark if symbols else self._encode(word)
+            self.firsts[word] = found
         return found
 
 
@@ -170,9 +181,9 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
                 position += len(data)
                 start += int(offsets[-1])
 
-    # equal ids are dealt on by text, and equal rows by where they were read
-    rows = docs.select("doc_id", "text").withColumns({"by_text": F.xxhash64("text"), "by_place": F.monotonically_increasing_id()})
-    order = ["doc_id", "by_text", "by_place"]
+    # rows with equal ids are dealt on by where they were read; sampling the ranges reads no text
+    rows = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("by_place"))
+    order = ["doc_id", "by_place"]
     ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
     return ranged.mapInArrow(encode, f"doc_id {id_type}, part int, position bigint, part_start bigint, n_tokens bigint, ids array<int>")
 
