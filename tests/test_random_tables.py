@@ -77,7 +77,7 @@ OTHER_TEXT = ["A", "X", "10", "0001", "KG", "M3", "MM", "Z2", "ZNORM", "ES14", "
 def _value(rng: random.Random, field: T.StructField, hot: bool):
     if isinstance(field.dataType, T.DecimalType):
         return rng.choice([*QUANTITIES, None])
-    if isinstance(field.dataType, T.IntegerType):
+    if isinstance(field.dataType, T.LongType):
         return rng.choice(NUMBERS.get(field.name, [0, 1, 5, None]))
     choices = VALUES.get(field.name, OTHER_TEXT)
     if field.name in ("MATNR", "LIFNR") and hot:
@@ -110,7 +110,7 @@ def _both(spark, seed: int):
             if isinstance(field.dataType, T.DecimalType):
                 kind = pa.decimal128(13, 3)
             else:
-                kind = arrow["int"] if isinstance(field.dataType, T.IntegerType) else arrow[str]
+                kind = arrow["int"] if isinstance(field.dataType, T.LongType) else arrow[str]
             columns.append(pa.array([row[index] for row in rows], kind))
         table = pa.table(columns, names=source.schema.names)
         connection.register(f"{code}_rows", table)
