@@ -213,22 +213,24 @@ def equal_quantities(catalog: Catalog) -> DataFrame:
     in thousandths the only unit weight that fits a case is an exact quotient.
     RATIOS: UMREN / UMREZ is the net weight. Either way the comparison becomes an
     equality of one value on each side, so equal pairs come from an equi-join of
-    counts per value, and differing pairs never have to be built.
+    counts per value, and differing pairs never have to be built. The values travel as
+    texts: a join on doubles would normalise its key and shuffle the counts once more.
     """
     thousandths = "cast(BRGEW * 1000 AS bigint)"
+    ratio = "cast({} + 0.0D AS string)".format  # without a negative zero
     goods = catalog.table("M").filter(F.expr(f"{GOODS} AND MATNR IS NOT NULL"))
     asked = goods.selectExpr(
         "MATNR",
         f"""inline(array(
-            named_struct('KIND', 'CASES', 'VALUE', cast(if(MEINS = 'ST', {thousandths}, NULL) AS double)),
-            named_struct('KIND', 'RATIOS', 'VALUE', cast(NTGEW AS double))))""",
+            named_struct('KIND', 'CASES', 'VALUE', cast(if(MEINS = 'ST', {thousandths}, NULL) AS string)),
+            named_struct('KIND', 'RATIOS', 'VALUE', {ratio('cast(NTGEW AS double)')})))""",
     )
     units = catalog.table("R").filter("MATNR IS NOT NULL AND UMREZ <> 0 AND MEINH IN ('CS', 'KG')")
     quotient = f"if(try_mod({thousandths}, UMREZ) = 0, {thousandths} div UMREZ, NULL)"
     offered = units.selectExpr(
         "MATNR",
         "if(MEINH = 'CS', 'CASES', 'RATIOS') AS KIND",
-        f"if(MEINH = 'CS', cast({quotient} AS double), try_divide(UMREN, UMREZ)) AS VALUE",
+        f"if(MEINH = 'CS', cast({quotient} AS string), {ratio('try_divide(UMREN, UMREZ)')}) AS VALUE",
     )
     pairs = _copies(asked, "ASKED").join(_copies(offered, "OFFERED"), ["MATNR", "KIND", "VALUE"])
     return pairs.agg(
@@ -237,5 +239,5 @@ def equal_quantities(catalog: Catalog) -> DataFrame:
 
 
 def _copies(values: DataFrame, name: str) -> DataFrame:
-    """Rows per material, kind and value. Thousandths stay below 2**53, so a double holds them exactly."""
+    """Rows per material, kind and value."""
     return values.filter("VALUE IS NOT NULL").groupBy("MATNR", "KIND", "VALUE").agg(F.count(F.lit(1)).alias(name))

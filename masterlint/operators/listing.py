@@ -15,6 +15,16 @@ from masterlint.sources.catalog import Catalog
 from masterlint.sources.schemas import SOURCES
 
 
+def _dealt_anew(key: str) -> Column:
+    """``key`` as the key of a join below which Spark places a shuffle of its own.
+
+    Adaptive execution splits a hot key only if nothing stands between a join and its
+    shuffles. After a grouping or a join on the plain column their partitioning would be
+    used instead, and the hot key stay in one task.
+    """
+    return F.concat(F.col(key), F.lit(""))
+
+
 def violations(catalog: Catalog, rule: Rule) -> DataFrame:
     """The failing rows of ``rule`` with its display columns, in no particular order."""
     listing = rule.listing
@@ -70,8 +80,9 @@ def _joined(catalog: Catalog, codes: list[str], terms: tuple[Term, ...], shown:
     first = codes[0]
     key = SOURCES[first].key
     rows = sides[0]
-    for code, side in zip(codes[1:], sides[1:], strict=True):
-        rows = rows.join(side, F.col(f"{first}.{key}") == F.col(f"{code}.{key}"))
+    for position, (code, side) in enumerate(zip(codes[1:], sides[1:], strict=True)):
+        left = F.col(f"{first}.{key}") if position == 0 else _dealt_anew(f"{first}.{key}")
+        rows = rows.join(side, left == F.col(f"{code}.{key}"))
     if len(terms) == 1:
         return rows
     met = [
@@ -101,9 +112,11 @@ def flagged_groups(catalog: Catalog) -> DataFrame:
     members = (
         grouped.group_codes(catalog)
         .filter("ITEMS > 0 AND CODE IS NOT NULL AND BISMT IS NOT NULL")
-        .select("BISMT", F.col("CODE").alias("SUBSTITUTE5"), F.lit(True).alias("FOUND"))
+        .select(_dealt_anew("BISMT").alias("MEMBER_OF"), "CODE", F.lit(True).alias("FOUND"))
     )
-    rows = goods.join(members, ["BISMT", "SUBSTITUTE5"], "left").join(facts, "BISMT", "left")
+    facts = facts.withColumn("GROUP", _dealt_anew("BISMT")).drop("BISMT")
+    found = (F.col("BISMT") == F.col("MEMBER_OF")) & (F.col("SUBSTITUTE5") == F.col("CODE"))
+    rows = goods.join(members, found, "left").join(facts, F.col("BISMT") == F.col("GROUP"), "left")
     grouping = F.col("BISMT").isNotNull()
     switch = F.col("SUBSTITUTE5").isNotNull()
     absent = F.when(F.col("FOUND"), False).when(F.col("UNKNOWN_ITEMS") == 0, True)
@@ -190,7 +203,9 @@ def repeated_contacts(catalog: Catalog) -> DataFrame:
         catalog.table("K").filter(F.expr(grouped.IN_SCOPE)).groupBy("LIFNR", "PARNR").agg(F.count(F.lit(1)).alias("ROWS"))
     )
     vendors = catalog.table("L").filter(F.expr(grouped.IN_SCOPE)).groupBy("LIFNR").agg(F.count(F.lit(1)).alias("COPIES"))
-    return contacts.join(vendors, "LIFNR").filter(F.col("ROWS") * F.col("COPIES") > 1).select("LIFNR", "PARNR")
+    contacts = contacts.withColumn("VENDOR", _dealt_anew("LIFNR"))
+    vendors = vendors.select(_dealt_anew("LIFNR").alias("VENDOR"), "COPIES")
+    return contacts.join(vendors, "VENDOR").filter(F.col("ROWS") * F.col("COPIES") > 1).select("LIFNR", "PARNR")
 
 
 def unreachable_contacts(catalog: Catalog) -> DataFrame:

@@ -26,6 +26,15 @@ class Run:
     exports: dict[int, str]
 
 
+class ExportErrors(RuntimeError):
+    """Some exports of a recorded run failed: ``errors`` by rule, and the ``run`` with those that were written."""
+
+    def __init__(self, run: Run, errors: dict[int, Exception]):
+        super().__init__("; ".join(f"export of rule {rule_id} failed: {error}" for rule_id, error in errors.items()))
+        self.run = run
+        self.errors = errors
+
+
 def run_rules(catalog: Catalog, rules: Iterable[Rule], store: Store, export_root: str | None = None) -> Run:
     """Evaluates ``rules`` in one plan, records the results and exports unclean rules' rows.
 
@@ -42,12 +51,19 @@ def run_rules(catalog: Catalog, rules: Iterable[Rule], store: Store, export_root
     at = datetime.now(UTC)
     unclean = [row.RULE_ID for row in rows if wanted(chosen[row.RULE_ID], row.STATUS, row.PASSED_PERCENTAGE)]
 
-    def write(rule_id: int) -> str:
-        return export(catalog, chosen[rule_id], export_root, at)
+    def write(rule_id: int) -> str | Exception:
+        try:
+            return export(catalog, chosen[rule_id], export_root, at)
+        except Exception as error:  # the other exports are still written; raised below
+            return error
 
     with ThreadPoolExecutor(EXPORTS_AT_ONCE) as pool:
-        paths = pool.map(inheritable_thread_target(spark)(write), unclean)
-        return Run(rows, dict(zip(unclean, paths, strict=True)))
+        outcomes = dict(zip(unclean, pool.map(inheritable_thread_target(spark)(write), unclean), strict=True))
+    errors = {rule_id: outcome for rule_id, outcome in outcomes.items() if isinstance(outcome, Exception)}
+    run = Run(rows, {rule_id: outcome for rule_id, outcome in outcomes.items() if rule_id not in errors})
+    if errors:
+        raise ExportErrors(run, errors)
+    return run
 
 
 def report(store: Store, dimension: DataFrame | None = None) -> DataFrame:

@@ -21,6 +21,8 @@ def spark():
             "spark.master": "local[8]",
             "spark.sql.shuffle.partitions": "8",
             "spark.driver.memory": "8g",
+            # sizes of shuffled partitions follow their rows, however alike these are
+            "spark.shuffle.compress": "false",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
         },

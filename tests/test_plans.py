@@ -7,6 +7,7 @@ import re
 import pytest
 
 from masterlint.functions.conditions import ALWAYS
+from masterlint.operators.grouped import equal_quantities
 from masterlint.operators.listing import violations
 from masterlint.plans.report import results
 from masterlint.rules.model import Pairs
@@ -62,6 +63,16 @@ def test_filters_and_columns_reach_the_scan(staged):
     assert sorted(len(schema.split(",")) for schema in schemas) == [2, 4]
 
 
+def test_equal_quantities_shuffle_each_side_once(spark, staged):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(equal_quantities(staged))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert text.count("Exchange hashpartitioning") == 2
+
+
 def test_terms_of_a_rule_are_disjoint(staged):
     """Counting adds up terms, so no joined row may meet two of them."""
     for rule in all_rules().values():

@@ -10,7 +10,8 @@ import pytest
 
 from masterlint.operators.listing import violations
 from masterlint.plans.report import DIMENSION_SCHEMA, FACT_SCHEMA, daily_cube
-from masterlint.plans.run import report, run_rules
+from masterlint.plans import run
+from masterlint.plans.run import ExportErrors, report, run_rules
 from masterlint.rules.dimension import description
 from masterlint.rules.registry import all_rules
 from masterlint.sinks import exports
@@ -112,6 +113,21 @@ def test_run_records_exports_and_reports(spark, catalog, tmp_path):
     assert {row.RULE_ID for row in cube.filter("RULE_NAME IS NOT NULL").collect()} == {1}
 
 
+def test_a_failing_export_leaves_the_others(spark, catalog, tmp_path, monkeypatch):
+    def export(catalog, rule, root, at):
+        if rule.id == 3:
+            raise OSError("disk")
+        return exports.export(catalog, rule, root, at)
+
+    monkeypatch.setattr(run, "export", export)
+    store = Store(spark, str(tmp_path / "store"))
+    with pytest.raises(ExportErrors, match="rule 3 failed: disk") as raised:
+        run_rules(catalog, [all_rules()[i] for i in (2, 3, 12)], store, str(tmp_path / "exports"))
+    assert set(raised.value.errors) == {3}
+    assert set(raised.value.run.exports) == {2, 12}
+    assert len(raised.value.run.results) == store.read(RESULTS).count() == 3
+
+
 def test_database_store(spark, tmp_path):
     spark.sql(f"CREATE DATABASE IF NOT EXISTS dq_test LOCATION '{tmp_path}/dq_test'")
     store = Store(spark, database="dq_test")
