@@ -74,6 +74,12 @@ def results(catalog: Catalog, rules: Iterable[Rule]) -> DataFrame:
     return grade(counts(catalog, rules))
 
 
+def stamped(graded: DataFrame, result_id: Column, at: Column) -> DataFrame:
+    """Graded rows as recorded: with an id, a time, and the UTC day they are filed under."""
+    rows = graded.withColumn("RESULT_ID", result_id).withColumn("EXECUTION_TIME", at)
+    return rows.select(*FACT_SCHEMA.names, utc_date("EXECUTION_TIME").alias("EXECUTION_DATE"))
+
+
 def utc_date(instant: str) -> Column:
     """The UTC calendar date of a timestamp, whatever the session time zone."""
     days = F.floor(F.unix_seconds(instant) / 86400).cast("int")

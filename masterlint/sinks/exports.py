@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import replace
 from datetime import datetime
 
@@ -21,6 +22,13 @@ def wanted(rule: Rule, status: str, rate: float) -> bool:
     return status == "FAILED" if rule.export_when_failed else rate != 100
 
 
+def gate(graded: DataFrame, rules: Iterable[Rule]) -> DataFrame:
+    """RULE_ID and WANTED, the decision of ``wanted`` for every graded row."""
+    strict = [rule.id for rule in rules if rule.export_when_failed]
+    failed, unclean = F.col("STATUS") == "FAILED", F.col("PASSED_PERCENTAGE") != 100
+    return graded.select("RULE_ID", F.when(F.col("RULE_ID").isin(strict), failed).otherwise(unclean).alias("WANTED"))
+
+
 def directory(root: str, rule: Rule, at: datetime) -> str:
     """The export's directory of part files."""
     return f"{root}/REGLA_DQ_{rule.id}_{rule.tag}_{at:%Y%m%d_%H%M%S}"

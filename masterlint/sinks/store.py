@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from masterlint.plans.report import DIMENSION_SCHEMA, FACT_SCHEMA, daily_cube, utc_date
+from masterlint.plans.report import DIMENSION_SCHEMA, FACT_SCHEMA, daily_cube, stamped
 
 RESULTS = "FACT_DQ_RESULTS"
 CUBE = "CUBE_DQ"
@@ -42,8 +42,7 @@ class Store:
 
         ``graded`` should be materialised: it is evaluated again on a task retry.
         """
-        stamped = graded.withColumn("RESULT_ID", F.expr("uuid()")).withColumn("EXECUTION_TIME", F.current_timestamp())
-        rows = stamped.select(*FACT_SCHEMA.names, utc_date("EXECUTION_TIME").alias(PARTITION))
+        rows = stamped(graded, F.expr("uuid()"), F.current_timestamp())
         # the rows of one run are few: one file a day and run instead of one per task
         self.write(RESULTS, rows.coalesce(1), "append", PARTITION)
 

@@ -237,6 +237,26 @@ def results(rules: Iterable[int], staged: bool = False) -> str:
     return _with([*sources, counts], GRADED.format(kept="", counts="counts"))
 
 
+def fact_rows(at: str) -> str:
+    """Graded results of all rules as recorded at the UTC time ``at``."""
+    return (
+        f"SELECT *, 'result-' || RULE_ID AS RESULT_ID, TIMESTAMP {literal(at)} AS EXECUTION_TIME, "
+        f"DATE {literal(at[:10])} AS EXECUTION_DATE FROM ({results(CHECKS)})"
+    )
+
+
+# Rules exported only when their status is FAILED.
+EXPORTED_WHEN_FAILED = (1, 2, 3, 22)
+
+
+def export_gate() -> str:
+    """All rules, and whether a run exports their failing rows."""
+    return (
+        f"SELECT RULE_ID, STATUS = 'FAILED' AS WANTED FROM ({results(CHECKS)}) WHERE RULE_ID IN {EXPORTED_WHEN_FAILED} "
+        f"UNION ALL SELECT RULE_ID, PASSED_PERCENTAGE <> 100 FROM ({results(CHECKS)}) WHERE RULE_ID NOT IN {EXPORTED_WHEN_FAILED}"
+    )
+
+
 def violations(rule: int, staged: bool = False) -> str:
     """The rows behind a rule's failures."""
     used, query = _listing(rule)

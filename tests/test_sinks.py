@@ -91,6 +91,13 @@ def test_gate():
     assert {rule.id for rule in all_rules().values() if rule.export_when_failed} == {1, 2, 3, 22}
 
 
+def test_gate_of_a_table_is_the_gate_of_its_rows(spark):
+    cases = [(i, rate, status) for i in (1, 8) for rate, status in ((100.0, "PASSED"), (99.5, "PASSED"), (99.0, "ERROR"), (-3.0, "FAILED"))]
+    graded = spark.createDataFrame(cases, "RULE_ID long, PASSED_PERCENTAGE double, STATUS string")
+    found = [tuple(row) for row in exports.gate(graded, all_rules().values()).collect()]
+    assert sorted(found) == sorted((i, exports.wanted(all_rules()[i], status, rate)) for i, rate, status in cases)
+
+
 def test_run_records_exports_and_reports(spark, catalog, tmp_path):
     store = Store(spark, str(tmp_path / "store"))
     rules = [all_rules()[i] for i in (1, 22, 75, 113, 119)]
