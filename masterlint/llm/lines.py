@@ -44,9 +44,9 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     with_a = pairs.join(texts.select(F.col("line_id").alias("a"), F.col("line").alias("line_a")), "a")
     both = with_a.join(texts.select(F.col("line_id").alias("b"), F.col("line").alias("line_b")), "b")
     long = both.where("4 * greatest(char_length(line_a), char_length(line_b)) <= 5 * least(char_length(line_a), char_length(line_b))")
-    grams = long.selectExpr("a", "b", f"{_grams('line_a')} AS ga", f"{_grams('line_b')} AS gb")
-    shared = let("size(array_intersect(ga, gb))", "s", f"100 * s >= {PERCENT} * (size(ga) + size(gb) - s)")
-    return grams.where(shared).select("a", "b").distinct()
+    # one expression: as columns below a filter the shingles would be computed at each mention
+    alike = let("size(array_intersect(ga, gb))", "s", f"100 * s >= {PERCENT} * (size(ga) + size(gb) - s)")
+    return long.where(let(_grams("line_a"), "ga", let(_grams("line_b"), "gb", alike))).select("a", "b").distinct()
 
 
 def _bands(keyed: DataFrame) -> DataFrame:
@@ -56,17 +56,20 @@ def _bands(keyed: DataFrame) -> DataFrame:
     return ends.where("pivot < last").select("key", "pivot")
 
 
-def links(distinct: DataFrame, texts: DataFrame) -> DataFrame:
-    """Verified links (a, b) between lines of distinct (line_id, signature), in which lines may come repeatedly;
-    texts: line_id and line."""
+def links(texts: DataFrame) -> DataFrame:
+    """Verified links (a, b) between lines of texts (line_id, line, signature), in which lines may come
+    repeatedly. Only the first level reads them all: later ones deal lines that were compared before."""
     found: list[DataFrame] = []
-    keyed = distinct.select("line_id", F.explode("signature").alias("key"))
+    compared: DataFrame | None = None
+    keyed = texts.select("line_id", F.explode("signature").alias("key"))
     for level in range(1, LEVELS + 1):
         bands = written(_bands(keyed.select("key", "line_id")), "bands")
         members = written(keyed.join(bands, "key").distinct(), "band-lines")
         candidates = members.where("line_id <> pivot").selectExpr("line_id AS a", "pivot AS b").distinct()
-        ids = candidates.selectExpr("a AS line_id").unionByName(candidates.selectExpr("b AS line_id")).distinct()
-        compared = written(texts.join(ids, "line_id", "left_semi").groupBy("line_id").agg(F.min("line").alias("line")), "compared-lines")
+        if compared is None:
+            ids = candidates.selectExpr("explode(array(a, b)) AS line_id").distinct()
+            one = texts.join(ids, "line_id", "left_semi").groupBy("line_id").agg(F.min(F.struct("line", "signature")).alias("one"))
+            compared = written(one.select("line_id", "one.*"), "compared-lines")
         verified = written(_verified(candidates, compared), "line-links")
         found.append(verified)
         if level == LEVELS:
@@ -75,8 +78,7 @@ def links(distinct: DataFrame, texts: DataFrame) -> DataFrame:
         rest = members.where("line_id <> pivot").join(linked, ["line_id", "pivot"], "left")
         mixed = rest.where("linked IS NULL").select("key").distinct()
         again = rest.join(mixed, "key", "left_semi").select("line_id", "key")
-        signatures = distinct.join(again.select("line_id").distinct(), "line_id", "left_semi").distinct()
-        again = again.join(signatures, "line_id")
+        again = again.join(compared.select("line_id", "signature"), "line_id")
         keyed = again.select("line_id", "signature", F.explode(F.expr("filter(signature, x -> x <> key)")).alias("value"), "key")
         # the same lines meet under either order of the values, so the key does not depend on it
         keyed = written(keyed.selectExpr("line_id", "xxhash64(key ^ value, least(key, value)) AS key").distinct(), "band-keys")
@@ -95,7 +97,7 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     columns are ignored; whole lines count, however long.
     """
     table = lines(docs)
-    found = links(table.select("line_id", "signature"), table.select("line_id", "line"))
+    found = links(table.select("line_id", "line", "signature"))
     roots = components(found, "line-components").withColumnRenamed("node", "line_id")
     copies = table.groupBy("line_id", "crc").agg(F.count("*").alias("copies"))
     grouped = copies.join(roots, "line_id", "left").where("copies > 1 OR root IS NOT NULL")
