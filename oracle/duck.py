@@ -277,38 +277,52 @@ def _listing(rule: int) -> tuple[str, str]:
     return relation, f"SELECT {expand(LISTINGS[rule])} FROM {RELATIONS[relation]} WHERE {expand(predicate)}"
 
 
-def daily_cube(runs: list[tuple[str, str, int]], dimension: list[tuple]) -> str:
-    """The cube over replayed runs.
-
-    A run is (name, UTC time, divisor of the failures); ``dimension`` holds tuples of
-    rule id and the described columns.
-    """
-    tables, rows = zip(*[_count_row(rule) for rule in CHECKS], strict=True)
-    counted = "counted AS (" + " UNION ALL ".join(rows) + ")"
-    replayed = (
-        "replayed AS (SELECT RULE_ID, POLICY, NOTE, TOTAL_RECORDS, FAILED_RECORDS // divisor AS FAILED_RECORDS, "
-        "name || '-' || RULE_ID AS RESULT_ID, cast(started AS timestamp) AS EXECUTION_TIME FROM counted, (VALUES "
-        + ", ".join(f"({literal(name)}, {literal(at)}, {divisor})" for name, at, divisor in runs)
-        + ") AS run(name, started, divisor))"
-    )
-    graded = f"graded AS ({GRADED.format(kept='RESULT_ID, EXECUTION_TIME, ', counts='replayed')})"
+def _described(dimension: list[tuple]) -> str:
+    """The rule dimension as a table expression; tuples of rule id and the described columns."""
 
     def shown(value: object) -> str:
         return literal(value) if isinstance(value, str) else "NULL" if value is None else str(value)
 
-    described = (
+    return (
         "dimension(RULE_ID, RULE_NAME, RULE_DESCRIPTION, TARGET_TABLE, SQL_CONDITION, SEVERITY, THRESHOLD, ACTIVE, "
         'CREATED_AT, UPDATED_AT, "TABLE", TABLE_FIELD, TABLE_SOURCE, MASTER) AS (VALUES '
         + ", ".join("(" + ", ".join(shown(v) for v in row) + ")" for row in dimension)
         + ")"
     )
+
+
+def _cube(facts: str) -> str:
+    """The cube of the table expression ``facts``."""
     return (
-        f"WITH {', '.join([*staging(''.join(tables)), counted, replayed, graded, described])} "
         "SELECT a.*, b.RULE_NAME, b.RULE_DESCRIPTION, b.TARGET_TABLE, b.SQL_CONDITION, b.SEVERITY, "
         "cast(b.THRESHOLD AS double) AS THRESHOLD, b.ACTIVE, cast(b.CREATED_AT AS timestamp) AS CREATED_AT, "
         'cast(b.UPDATED_AT AS timestamp) AS UPDATED_AT, b."TABLE", b.TABLE_FIELD, b.TABLE_SOURCE, b.MASTER '
         "FROM (SELECT RULE_ID, cast(EXECUTION_TIME AS date) AS EXECUTION_DATE, max(RESULT_ID) AS RESULT_ID, "
         "max(TOTAL_RECORDS) AS TOTAL_RECORDS, max(FAILED_RECORDS) AS FAILED_RECORDS, "
         "max(PASSED_PERCENTAGE) AS PASSED_PERCENTAGE, max(STATUS) AS STATUS, max(DETAILS) AS DETAILS "
-        "FROM graded GROUP BY RULE_ID, cast(EXECUTION_TIME AS date)) a LEFT JOIN dimension b ON a.RULE_ID = b.RULE_ID"
+        f"FROM {facts} GROUP BY RULE_ID, cast(EXECUTION_TIME AS date)) a LEFT JOIN dimension b ON a.RULE_ID = b.RULE_ID"
+    )
+
+
+def daily_cube(runs: list[tuple[str, str, int]], dimension: list[tuple]) -> str:
+    """The cube over replayed runs; a run is (name, UTC time, divisor of the failures)."""
+    tables, rows = zip(*[_count_row(rule) for rule in CHECKS], strict=True)
+    counted = "counted AS (" + " UNION ALL ".join(rows) + ")"
+    replayed = (
+        "replayed AS (SELECT RULE_ID, POLICY, NOTE, TOTAL_RECORDS, FAILED_RECORDS // divisor AS FAILED_RECORDS, "
+        "name || '-' || RULE_ID AS RESULT_ID, cast(started AS timestamp) AS EXECUTION_TIME FROM counted, (VALUES "
+        + ", ".join(f"({literal(name)}, {literal(at)}, {divisor})" for name, at, divisor in runs)
+        + ") AS run(name, started, divisor))"
+    )
+    graded = f"graded AS ({GRADED.format(kept='RESULT_ID, EXECUTION_TIME, ', counts='replayed')})"
+    return f"WITH {', '.join([*staging(''.join(tables)), counted, replayed, graded, _described(dimension)])} {_cube('graded')}"
+
+
+def cube_history(rule_numbers: int, dimension: list[tuple]) -> str:
+    """The cube over facts that stand for the events."""
+    facts = (
+        f"facts AS (SELECT user_id % {rule_numbers} AS RULE_ID, ts AS EXECUTION_TIME, event_type || '-' || event_id AS RESULT_ID, "
+        "event_id AS TOTAL_RECORDS, event_id % 100 AS FAILED_RECORDS, value AS PASSED_PERCENTAGE, event_type AS STATUS, "
+        "props AS DETAILS FROM events)"
     )
+    return f"WITH {facts}, {_described(dimension)} {_cube('facts')}"

@@ -9,7 +9,7 @@ from decimal import Decimal
 import duckdb
 from pyspark.sql import DataFrame
 
-TABLES = ("part", "customer", "nation")
+TABLES = ("part", "customer", "nation", "events")
 
 
 def connect(sample_dir: str) -> duckdb.DuckDBPyConnection:

@@ -27,8 +27,8 @@ def test_rule_ids():
 
 
 def test_every_query_has_a_check():
-    own = {name for name in entry_point.queries() if name.split("_")[0] in ("rule", "viol", "suite", "daily", "fact", "export")}
-    assert len(own) == 2 * len(RULES) + len(DOMAINS) + 3
+    own = {name for name in entry_point.queries() if name.split("_")[0] in ("rule", "viol", "suite", "daily", "cube", "fact", "export")}
+    assert len(own) == 2 * len(RULES) + len(DOMAINS) + 4
     assert own <= set(entry_point.oracle_sql())
 
 
@@ -45,7 +45,7 @@ def test_golden_counts(catalog, domain):
     assert found == {rule.id: golden[rule.id] for rule in rules_of(domain)}
 
 
-@pytest.mark.parametrize("name", ["suite_material", "suite_vendor", "daily_cube", "fact_rows", "export_gate"])
+@pytest.mark.parametrize("name", ["suite_material", "suite_vendor", "daily_cube", "cube_history", "fact_rows", "export_gate"])
 def test_fused_queries(spark, samples, duck, name):
     assert spark_bag(entry_point.queries()[name](spark, samples)) == duck_bag(duck, entry_point.oracle_sql()[name])
 
