@@ -308,22 +308,23 @@ def cluster(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     texts = docs.selectExpr("doc_id", f"{number} AS number", "text")
     id_type = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {id_type}, number bigint, n bigint, s1 bigint, s2 bigint, keys array<bigint>, bits binary"
-    prints = written(texts.mapInArrow(_fingerprints, schema), "shingles")
-    of_sets = prints.where("n > 0").groupBy("s1", "s2").agg(F.min("number").alias("node"), F.count("*").alias("copies"))
+    numbered = texts.mapInArrow(_fingerprints, schema).withColumn("row", F.monotonically_increasing_id())
+    prints = written(numbered, "shingles")
+    of_sets = prints.where("n > 0").groupBy("s1", "s2").agg(F.min("number").alias("node"), F.min_by("row", "number").alias("row"), F.count("*").alias("copies"))
     sets = written(of_sets, "shingle-sets")
 
     # the keys and bitmaps stay where they are: only the rows that repeat a set are looked up
-    repeated = sets.where("copies > 1").select("s1", "s2", "node")
-    again = prints.where("n > 3").select("number", "s1", "s2").join(repeated, ["s1", "s2"]).where("number <> node")
-    again = written(again.select("number", "s1").distinct(), "repeated-sets")
-    nodes = prints.where("n > 3").join(again, ["number", "s1"], "left_anti").selectExpr("number AS node", "n", "keys", "bits")
+    repeated = sets.where("copies > 1").select("s1", "s2", F.col("row").alias("kept"))
+    again = prints.where("n > 3").select("row", "s1", "s2").join(repeated, ["s1", "s2"]).where("row <> kept")
+    again = written(again.select("row"), "repeated-sets")
+    nodes = prints.where("n > 3").join(again, "row", "left_anti").selectExpr("row", "number AS node", "n", "keys", "bits")
     nodes = written(nodes, "shingle-nodes")
-    rows = nodes.select("node", F.explode("keys").alias("key"))
-    sizes = rows.groupBy("key").agg(F.count("*").alias("size"), F.bit_xor(F.xxhash64("node")).alias("who")).where("size > 1")
-    # buckets of the same sets are one bucket
+    rows = nodes.select("row", F.explode("keys").alias("key"))
+    sizes = rows.groupBy("key").agg(F.count("*").alias("size"), F.bit_xor(F.xxhash64("row")).alias("who")).where("size > 1")
+    # buckets of the same sets are one bucket; a set has one row here, so that no two hashes cancel
     buckets = written(sizes.groupBy("size", "who").agg(F.min("key").alias("key")).select("key", "size"), "shingle-buckets")
-    members = rows.join(buckets, "key").select(F.col("key").alias("bucket"), "size", "node")
-    candidates = members.join(nodes.drop("keys"), "node")
+    members = rows.join(buckets, "key").select(F.col("key").alias("bucket"), "size", "row")
+    candidates = members.join(nodes.drop("keys"), "row").drop("row")
     possible = written(_grouped(_blocks(candidates, block), ["n", "bits"], _possible_links).distinct(), "possible-links")
 
     clusters = components(possible, "possible-components")

@@ -138,6 +138,17 @@ def test_jaccard_near_copies_in_blocks(spark, block):
     same(rows_of(jaccard_join.cluster(docs, block)), brute_components(texts_of(docs)))
 
 
+def test_jaccard_near_copies_in_rows_that_come_twice(spark):
+    source, rows = random.Random(11), []
+    for group in range(12):
+        words = [f"w{source.randrange(10**6)}" for _ in range(30)]
+        rows += [(2 * group, " ".join(words)), (2 * group + 1, " ".join([*words, "more"]))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    same(rows_of(jaccard_join.cluster(docs.union(docs))), brute_components(rows + rows))
+    no_ids = docs.selectExpr("IF(doc_id < 4, NULL, doc_id) AS doc_id", "text")
+    same(rows_of(jaccard_join.cluster(no_ids.union(no_ids))), brute_components(texts_of(no_ids) * 2))
+
+
 def test_jaccard_keeps_one_of_each(odd):
     kept = [r.doc_id for r in jaccard_join.one_of_each(odd).collect()]
     assert jaccard_join.one_of_each(odd).columns == odd.columns
