@@ -1,7 +1,7 @@
 """Removal of repeated lines and sentences by their digests, as DataFrame operations on units.
 
-A unit is a line, cut further behind each sentence end, so that a passage inside a line is found as well. Units
-are compared by a digest of their lower-case words. Of equal units the earliest by (doc_id, place) stays; the
+A unit is a line, cut further behind each sentence end, so that a passage inside a line is found as well; the
+full-width stops of scripts without spaces end a sentence wherever they stand. Units of any length are compared by a digest of their lower-case words. Of equal units the earliest by (doc_id, place) stays; the
 others are removed, each reported with its place in the original text.
 """
 
@@ -17,9 +17,9 @@ from pyspark.sql import functions as F
 
 from masterlint.llm.common import pieces, written
 
-#: A unit of fewer words is too common to be called a copy by itself.
-LEAST_WORDS = 8
-_UNIT = re.compile(r"[^\n]*?(?:[.!?]+(?=\s)|\n|\Z)")
+#: Every unit that has a word takes part.
+LEAST_WORDS = 1
+_UNIT = re.compile(r"[^\n]*?(?:[.!?]+(?=\s)|[。！？｡]+[」』”’）]*|\n|\Z)")
 
 
 def spans(text: str) -> Iterator[tuple[int, int]]:

@@ -504,6 +504,14 @@ def test_repeated_units(docs):
     same(removed, wanted)
 
 
+def test_short_units_and_unspaced_passages_go(spark):
+    passage = "昨日は雨が降っていました。今日はとても良い天気です。明日は山へ行く予定です。"
+    rows = [(1, f"Home\nOne. Two of it.\n始まり。{passage}"), (2, f"Home\nTwo of it. Three.\n{passage}別の終わり。")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    texts = {r.doc_id: r.text for r in passages.cleaned(docs, passages.removals(docs)).collect()}
+    assert texts[1] == rows[0][1] and "".join(texts[2].split()) == "Three.別の終わり。"
+
+
 def test_units_cover_texts(docs):
     for _, text in texts_of(docs):
         at = 0
