@@ -9,15 +9,12 @@ from masterlint.llm import decontamination, jaccard_join, language, mixing, toke
 from masterlint.llm.common import documents, written
 from masterlint.llm.queries import tokenizer
 
-#: A text less like every language than this is rejected.
-LEAST_SCORE = 0.3
-
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents whose text resembles some language; those of unknown language go."""
+    """The documents that have a language; those without a letter go. The score is no ground: it grows with length."""
     columns = docs.columns
     scored = language.identify(docs, language.learn(docs), columns)
-    return scored.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*columns)
+    return scored.where(F.col("lang_pred") != language.UNKNOWN).select(*columns)
 
 
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -537,6 +537,17 @@ def test_cleaned_texts(tiny):
 # pipeline
 
 
+def test_pipeline_keeps_labelled_short_texts(spark, small):
+    import corpus_pipeline
+
+    openings = small.where("lang IS NOT NULL").selectExpr("*", "inline(array(struct(1 AS k), struct(3 AS k), struct(8 AS k)))")
+    short = openings.selectExpr("doc_id", "array_join(slice(split(trim(text), ' +'), 1, k), ' ') AS text", "lang", "source")
+    short = short.where("text RLIKE '[a-zA-Z]'")
+    assert corpus_pipeline.identified(spark, short, "").count() == short.count() > 1000
+    blank = short.limit(2).withColumn("text", F.lit("12 !!")).unionByName(short)
+    assert corpus_pipeline.identified(spark, blank, "").count() == short.count()
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
