@@ -3,8 +3,9 @@
 A line's signature holds the smallest hashes of its character shingles, 20 characters from each word's start
 on, so that one pass over the text yields a sample of shingles spread over the line. Each value of a signature
 is a band: lines that share one are compared with the first line of their band, exactly, by the Jaccard
-similarity of all their 5-character shingles; lines of which one is more than a fourth longer are not similar. A band whose lines don't all resemble its first is dealt anew, without
-that first line, by pairs of shared values, then by triples. The links' components are found by distributed
+similarity of all their 5-character shingles; lines of which one is more than a fourth longer are not similar. The
+lines of a band that don't all resemble its first are compared among themselves, by their rarest shingles, so
+that none of their links is lost. The links' components are found by distributed
 union-find; of each the line with the smallest (doc_id, line number) stays.
 """
 
@@ -19,7 +20,8 @@ SIGNATURE = 5
 SAMPLED_CHARS = 20
 SHINGLE = 5
 PERCENT = 80
-LEVELS = 3
+#: Lines of a key that one task compares with each other, or with as many others.
+BLOCK = 512
 
 
 def lines(docs: DataFrame) -> DataFrame:
@@ -56,36 +58,57 @@ def _bands(keyed: DataFrame) -> DataFrame:
     return ends.where("pivot < last").select("key", "pivot")
 
 
+def _blocks(keyed: DataFrame, sizes: DataFrame) -> DataFrame:
+    """keyed (key, line_id, ...) dealt to parts by sizes (key, size): one for a key of up to BLOCK lines, else
+    one for every two of its blocks."""
+    count = f"CAST(ceil(size / {BLOCK}) AS int)"
+    mine = f"CAST(pmod(xxhash64(line_id), {count}) AS int)"
+    others = f"filter(sequence(0, {count} - 1), j -> j <> {mine})"
+    parts = f"IF({count} = 1, array(0), transform({others}, j -> least(j, {mine}) * {count} + greatest(j, {mine})))"
+    return keyed.join(sizes, "key").withColumn("part", F.explode(F.expr(parts))).drop("size")
+
+
+def _left_links(left: DataFrame, found: DataFrame) -> DataFrame:
+    """All links between lines of left (line_id, line, n) that have no path in found yet.
+
+    Of a line's n shingles, rare ones first, two similar lines share one among the first n - 0.8 n + 1 each,
+    whatever else they have in common with others. Each of these is a key; lines of a key are compared in blocks.
+    """
+    grams = written(left.select("line_id", "n", F.explode(F.expr(_grams("line"))).alias("gram")), "left-shingles")
+    often = grams.groupBy("gram").agg(F.count("*").alias("times"))
+    by_line = grams.join(often, "gram").groupBy("line_id", "n").agg(F.expr("sort_array(collect_list(struct(times, gram)))").alias("sorted"))
+    first = f"slice(sorted, 1, CAST(n - (n * {PERCENT} + 99) div 100 + 1 AS int))"
+    keys = by_line.select("line_id", "n", F.explode(F.expr(f"filter({first}, x -> x.times > 1)")).alias("x"))
+    roots = components(found, "left-components").withColumnRenamed("node", "line_id")
+    keyed = keys.selectExpr("line_id", "n", "x.gram AS key").join(roots, "line_id", "left")
+    keyed = written(keyed.selectExpr("key", "line_id", "n", "coalesce(root, line_id) AS root"), "left-keys")
+    sizes = keyed.groupBy("key").agg(F.count("*").alias("size"), F.min("root").alias("least"), F.max("root").alias("most"))
+    dealt = written(_blocks(keyed, sizes.where("least < most").select("key", "size")), "left-blocks")
+    a = dealt.selectExpr("key", "part", "line_id AS a", "n AS na", "root AS ra")
+    b = dealt.selectExpr("key", "part", "line_id AS b", "n AS nb", "root AS rb")
+    pairs = a.join(b, ["key", "part"]).where(f"a < b AND ra <> rb AND 100 * least(na, nb) >= {PERCENT} * greatest(na, nb)")
+    return written(_verified(pairs.select("a", "b").distinct(), left), "left-links")
+
+
 def links(texts: DataFrame) -> DataFrame:
     """Verified links (a, b) between lines of texts (line_id, line, signature), in which lines may come
-    repeatedly. Only the first level reads them all: later ones deal lines that were compared before."""
-    found: list[DataFrame] = []
-    compared: DataFrame | None = None
+    repeatedly. Only the bands read them all: what is left of mixed bands was compared before."""
     keyed = texts.select("line_id", F.explode("signature").alias("key"))
-    for level in range(1, LEVELS + 1):
-        bands = written(_bands(keyed.select("key", "line_id")), "bands")
-        members = written(keyed.join(bands, "key").distinct(), "band-lines")
-        candidates = members.where("line_id <> pivot").selectExpr("line_id AS a", "pivot AS b").distinct()
-        if compared is None:
-            ids = candidates.selectExpr("explode(array(a, b)) AS line_id").distinct()
-            one = texts.join(ids, "line_id", "left_semi").groupBy("line_id").agg(F.min(F.struct("line", "signature")).alias("one"))
-            compared = written(one.select("line_id", "one.*"), "compared-lines")
-        verified = written(_verified(candidates, compared), "line-links")
-        found.append(verified)
-        if level == LEVELS:
-            break
-        linked = verified.select(F.col("a").alias("line_id"), F.col("b").alias("pivot"), F.lit(True).alias("linked"))
-        rest = members.where("line_id <> pivot").join(linked, ["line_id", "pivot"], "left")
-        mixed = rest.where("linked IS NULL").select("key").distinct()
-        again = rest.join(mixed, "key", "left_semi").select("line_id", "key")
-        again = again.join(compared.select("line_id", "signature"), "line_id")
-        keyed = again.select("line_id", "signature", F.explode(F.expr("filter(signature, x -> x <> key)")).alias("value"), "key")
-        # the same lines meet under either order of the values, so the key does not depend on it
-        keyed = written(keyed.selectExpr("line_id", "xxhash64(key ^ value, least(key, value)) AS key").distinct(), "band-keys")
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out.distinct()
+    bands = written(_bands(keyed), "bands")
+    members = written(keyed.join(bands, "key").distinct(), "band-lines").where("line_id <> pivot")
+    candidates = members.selectExpr("line_id AS a", "pivot AS b").distinct()
+    ids = candidates.selectExpr("explode(array(a, b)) AS line_id").distinct()
+    one = texts.join(ids, "line_id", "left_semi").groupBy("line_id").agg(F.min("line").alias("line"))
+    compared = written(one.selectExpr("line_id", "line", f"size({_grams('line')}) AS n"), "compared-lines")
+    found = written(_verified(candidates, compared), "line-links")
+    linked = found.selectExpr("a AS line_id", "b AS pivot", "true AS linked")
+    settled = members.join(linked, ["line_id", "pivot"], "left")
+    mixed = settled.where("linked IS NULL").select("key").distinct()
+    # one line left beside the pivot has no other to resemble
+    left = settled.join(mixed, "key", "left_semi").groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    rest = written(members.join(left, "key", "left_semi").select("line_id").distinct(), "left-lines")
+    more = _left_links(compared.join(rest, "line_id", "left_semi"), found)
+    return found.unionByName(more).distinct()
 
 
 def repeated_lines(docs: DataFrame) -> DataFrame:

@@ -285,6 +285,24 @@ def test_similar_lines_share_a_component(small):
             assert any(100 * len(g & h) >= 80 * len(g | h) for m, (_, h) in enumerate(distinct) if m != n)
 
 
+def lines_of(spark, made):
+    return spark.createDataFrame(list(enumerate(made)), "doc_id bigint, text string")
+
+
+@pytest.mark.parametrize(("common", "own"), [(20, 10), (15, 15)])
+def test_lines_of_a_hot_band(spark, common, own):
+    source = random.Random(common)
+    word = lambda: "".join(source.choice("abcdefghij") for _ in range(source.randrange(3, 9)))
+    opening, made = [word() for _ in range(common)], []
+    for _ in range(300):
+        words = [word() for _ in range(own)]
+        made += [" ".join([*opening, *words]), " ".join([*opening, *words[:-1], word()])]
+    sets = [grams(x) for x in made]
+    wanted = {(i, j) for i in range(600) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])}
+    kept = {r.doc_id: r.kept_doc_id for r in lines.repeated_lines(lines_of(spark, made)).collect()}
+    assert len(wanted) >= 290 and all(kept.get(i, i) == kept.get(j, j) for i, j in wanted)
+
+
 # sharding
 
 
