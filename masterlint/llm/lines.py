@@ -1,7 +1,8 @@
 """Removal of equal and similar lines, as DataFrame operations.
 
 A line's signature holds the smallest hashes of its character shingles, 20 characters from each word's start
-on, so that one pass over the text yields a sample of shingles spread over the line. Each value of a signature
+on, so that one pass over the text yields a sample of shingles spread over the line; of short lines, and lines
+with few spaces, also the smallest hashes of the 5-character shingles at every place. Each value of a signature
 is a band: lines that share one are compared with the first line of their band, exactly, by the Jaccard
 similarity of all their 5-character shingles; lines of which one is more than a fourth longer are not similar. The
 lines of a band that don't all resemble its first are compared among themselves, by their rarest shingles, so
@@ -18,6 +19,8 @@ from masterlint.llm.common import components, let, written
 
 SIGNATURE = 5
 SAMPLED_CHARS = 20
+#: Lines of fewer windows also have bands of their shingles.
+FEW_WINDOWS = 8
 SHINGLE = 5
 PERCENT = 80
 #: Lines of a key that one task compares with each other, or with as many others.
@@ -31,8 +34,9 @@ def lines(docs: DataFrame) -> DataFrame:
     each = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "raw"))
     trimmed = each.selectExpr("doc_id", "line_no", "lower(trim(BOTH ' \\t\\r' FROM raw)) AS line").where("line <> ''")
     windows = f"regexp_extract_all(line, '(?=(.{{{SAMPLED_CHARS}}}))[^ ]*+ *+', 1)"
-    hashes = let(windows, "w", "transform(IF(size(w) = 0, array(line), w), x -> xxhash64(x))")
-    signature = f"slice(sort_array(array_distinct({hashes})), 1, {SIGNATURE})"
+    least = f"slice(sort_array(array_distinct(transform(w, x -> xxhash64(x)))), 1, {SIGNATURE})"
+    short = f"slice(sort_array({_grams('line')}), 1, {SIGNATURE})"
+    signature = let(windows, "w", f"IF(size(w) >= {FEW_WINDOWS}, {least}, array_union({least}, {short}))")
     return written(trimmed.selectExpr("doc_id", "line_no", "line", "xxhash64(line) AS line_id", "crc32(line) AS crc", f"{signature} AS signature"), "lines")
 
 

@@ -303,6 +303,18 @@ def test_lines_of_a_hot_band(spark, common, own):
     assert len(wanted) >= 290 and all(kept.get(i, i) == kept.get(j, j) for i, j in wanted)
 
 
+def test_short_and_unspaced_similar_lines(spark):
+    source, made = random.Random(21), []
+    for length, letters in ((12, "abcdefghij"), (18, "abcdefghij "), (24, "abcdefghij "), (60, "abcdefghij"), (200, "abcdefghij")):
+        for _ in range(40):
+            line = "".join(source.choice(letters) for _ in range(length)).strip()
+            made += [line, "z" + line if source.random() < 0.5 else line + "z"]
+    sets = [grams(x) for x in made]
+    wanted = [i for i in range(0, len(made), 2) if 100 * len(sets[i] & sets[i + 1]) >= 80 * len(sets[i] | sets[i + 1])]
+    kept = {r.doc_id: r.kept_doc_id for r in lines.repeated_lines(lines_of(spark, made)).collect()}
+    assert len(wanted) == 200 and all(kept.get(i, i) == kept.get(i + 1) for i in wanted)
+
+
 # sharding
 
 
