@@ -4,7 +4,7 @@ A line's signature holds the smallest hashes of its character shingles, 20 chara
 on, so that one pass over the text yields a sample of shingles spread over the line; of short lines, and lines
 with few spaces, also the smallest hashes of the 5-character shingles at every place. Each value of a signature
 is a band: lines that share one are compared with the first line of their band, exactly, by the Jaccard
-similarity of all their 5-character shingles; lines of which one is more than a fourth longer are not similar. The
+similarity of all their 5-character shingles; only the numbers of these rule out a pair beforehand. The
 lines of a band that don't all resemble its first are compared among themselves, by their rarest shingles, so
 that none of their links is lost. The links' components are found by distributed
 union-find; of each the line with the smallest (doc_id, line number) stays.
@@ -46,13 +46,13 @@ def _grams(line: str) -> str:
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose lines are similar."""
-    with_a = pairs.join(texts.select(F.col("line_id").alias("a"), F.col("line").alias("line_a")), "a")
-    both = with_a.join(texts.select(F.col("line_id").alias("b"), F.col("line").alias("line_b")), "b")
-    long = both.where("4 * greatest(char_length(line_a), char_length(line_b)) <= 5 * least(char_length(line_a), char_length(line_b))")
+    """The pairs (a, b) whose lines are similar, by texts (line_id, line, n distinct shingles)."""
+    with_a = pairs.join(texts.select(F.col("line_id").alias("a"), F.col("line").alias("line_a"), F.col("n").alias("n_a")), "a")
+    both = with_a.join(texts.select(F.col("line_id").alias("b"), F.col("line").alias("line_b"), F.col("n").alias("n_b")), "b")
+    near = both.where(f"100 * least(n_a, n_b) >= {PERCENT} * greatest(n_a, n_b)")
     # one expression: as columns below a filter the shingles would be computed at each mention
     alike = let("size(array_intersect(ga, gb))", "s", f"100 * s >= {PERCENT} * (size(ga) + size(gb) - s)")
-    return long.where(let(_grams("line_a"), "ga", let(_grams("line_b"), "gb", alike))).select("a", "b").distinct()
+    return near.where(let(_grams("line_a"), "ga", let(_grams("line_b"), "gb", alike))).select("a", "b").distinct()
 
 
 def _bands(keyed: DataFrame) -> DataFrame:

@@ -315,6 +315,12 @@ def test_short_and_unspaced_similar_lines(spark):
     assert len(wanted) == 200 and all(kept.get(i, i) == kept.get(i + 1) for i in wanted)
 
 
+def test_similar_lines_of_unlike_length(spark):
+    made = ["-" * 50, "-" * 80, "come and see it " * 10, "come and see it " * 20]
+    removed = rows_of(lines.repeated_lines(lines_of(spark, made)).select("doc_id", "kept_doc_id"))
+    same(removed, [(1, 0), (3, 2)])
+
+
 # sharding
 
 
