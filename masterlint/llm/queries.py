@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from masterlint.llm import decontamination, jaccard_join, language, lines, mixing, passages, quality, sharding, token_counts, token_files
+from masterlint.llm import conversations, decontamination, jaccard_join, language, lines, mixing, passages, quality, sharding, spelling, token_counts, token_files, toxicity
 from masterlint.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,6 +74,20 @@ def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.removals(documents(spark, sf_dir))
 
 
+def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(documents(spark, sf_dir))
+
+
+def toxic_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).withColumn("held_out", F.expr("coalesce(crc32(CAST(doc_id AS string)) % 5 = 0, false)"))
+    model = toxicity.learn(docs.where("NOT held_out"), documents(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model, ["doc_id", "held_out"])
+
+
+def conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repaired(documents(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard_join": ngram_jaccard_join,
     "op2_source_mixing": source_mixing,
@@ -85,4 +99,7 @@ QUERIES: dict[str, Query] = {
     "op8_token_output": token_id_output,
     "op9_token_counts": token_counting,
     "op10_substring_dedup": substring_dedup,
+    "op11_spelling_variants": spelling_variants,
+    "op12_toxicity": toxic_documents,
+    "op13_conversation_repair": conversation_repair,
 }
