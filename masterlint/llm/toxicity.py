@@ -46,7 +46,7 @@ QUOTES = "\"'“”„‚‘’«»‹›「」『』"
 REPORTS = frozenset("said says say called calls call word words term terms quote quoted wrote writes meaning means mean defined insult slur".split())
 ADDRESSES = frozenset("you your yours youre u ur he she they him her them".split())
 #: Weights before any label is seen: of plain exact, quoted exact, plain misspelled, quoted misspelled hits, and none.
-PRIOR = np.array([2.5, 0.5, 1.5, 0.25, -3.0])
+PRIOR = np.array([4.5, 0.5, 3.5, 0.25, -3.0])
 PRIOR_STRENGTH = 1.0
 #: Words whose hits a worker remembers: a bound on memory only.
 REMEMBERED = 500_000
