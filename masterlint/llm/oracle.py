@@ -59,4 +59,50 @@ SELECT doc_id, n_words, word_chars, CAST(n_symbols AS BIGINT) AS n_symbols, CAST
 FROM ruled
 """
 
-ORACLE_SQL = {"op2_source_mixing": OP2, "op3_quality_rules": OP3}
+#: crc32 by its table; near words by what is left of both without the letter at one place, or of one of them.
+OP11 = r"""
+WITH RECURSIVE crc AS (
+    SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+           lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS steps
+),
+runs AS (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) AS run
+    FROM documents
+),
+counted AS (SELECT coalesce(doc_id::VARCHAR, '') || ':' || run AS key, run, count(*) AS n FROM runs WHERE length(run) >= 7 GROUP BY ALL),
+hashed AS (
+    SELECT run, n, xor(list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(key, ''),
+           lambda x: CASE WHEN unicode(x) < 128 THEN [unicode(x)::BIGINT] ELSE [192 + (unicode(x) >> 6)::BIGINT, 128 + (unicode(x) & 63)::BIGINT] END))),
+           lambda c, b: xor(c >> 8, steps[1 + (xor(c, b) & 255)])), 4294967295) AS h
+    FROM counted, crc
+),
+words AS (
+    SELECT CASE WHEN h % 31 = 0 THEN run[:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word, CAST(sum(n) AS BIGINT) AS n
+    FROM hashed GROUP BY 1 HAVING length(word) >= 7 AND sum(n) >= 2
+),
+places AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words),
+shorter AS (SELECT word, n, i, word[:i - 1] || word[i + 1:] AS rest FROM places),
+cut AS (SELECT DISTINCT shorter.word, shorter.n, words.word AS other, words.n AS other_n FROM shorter JOIN words ON rest = words.word),
+near AS (
+    SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM shorter a JOIN shorter b ON a.rest = b.rest AND a.i = b.i WHERE a.word <> b.word
+    UNION ALL SELECT * FROM cut
+    UNION ALL SELECT other, other_n, word, n FROM cut
+),
+best AS (
+    SELECT word, n, count(*) AS n_near, first(other ORDER BY other_n DESC, other) AS other, max(other_n) AS other_n FROM near GROUP BY word, n
+),
+formed AS (
+    SELECT words.word, words.n, coalesce(n_near, 0) AS n_near,
+           CASE WHEN other_n >= 10 * words.n THEN other END AS form, CASE WHEN other_n >= 10 * words.n THEN other_n END AS form_n
+    FROM words LEFT JOIN best ON words.word = best.word
+),
+walked AS (
+    SELECT word, form AS root, 1 AS steps FROM formed WHERE form IS NOT NULL
+    UNION ALL
+    SELECT walked.word, formed.form, steps + 1 FROM walked JOIN formed ON walked.root = formed.word WHERE formed.form IS NOT NULL
+),
+roots AS (SELECT word, arg_max(root, steps) AS root FROM walked GROUP BY word)
+SELECT formed.word, form, coalesce(root, formed.word) AS root, n, n_near, form_n FROM formed LEFT JOIN roots ON formed.word = roots.word
+"""
+
+ORACLE_SQL = {"op2_source_mixing": OP2, "op3_quality_rules": OP3, "op11_spelling_variants": OP11}

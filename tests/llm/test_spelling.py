@@ -7,10 +7,13 @@ import re
 import zlib
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pytest
 
 from masterlint.llm import spelling
+from masterlint.llm.oracle import ORACLE_SQL
+from masterlint.llm.queries import QUERIES
 
 RUN = re.compile("[A-Za-zÀ-ÿ]+")
 LOWER = str.maketrans(spelling.UPPER, spelling.LOWER)
@@ -98,6 +101,13 @@ def test_given_documents(spark):
     assert found(spelling.spelling_variants(docs)) == plain_variants([tuple(r) for r in docs.collect()])
 
 
+def test_as_the_sql(spark):
+    connection = duckdb.connect()
+    connection.execute("CREATE VIEW documents AS SELECT * FROM '/root/testdata/sf0.001/documents.parquet'")
+    expected = connection.execute(f"SELECT word, form, root, n, n_near, form_n FROM ({ORACLE_SQL['op11_spelling_variants']})").fetchall()
+    assert found(QUERIES["op11_spelling_variants"](spark, "/root/testdata/sf0.001")) == set(expected)
+
+
 def test_chains_ties_and_odd_rows(spark):
     # each word ten times as frequent as the one before; two equally frequent forms; very long words; clashing columns
     chain = ["qqqqqqqq", "qqqqqqqw", "qqqqqqww", "qqqqqwww"]
