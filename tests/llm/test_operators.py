@@ -526,28 +526,6 @@ def test_token_counter_equals_library_on_random_texts(monkeypatch):
 # substring dedup
 
 
-def test_repeated_units(docs):
-    removed = rows_of(passages.removals(docs))
-    seen, wanted = {}, []
-    for doc_id, text in sorted(texts_of(docs), key=lambda r: (r[0] is None, r[0] or 0)):
-        for start, stop in passages.spans(text or ""):
-            words = text[start:stop].lower().split()
-            if len(words) < passages.LEAST_WORDS:
-                continue
-            first = seen.setdefault(tuple(words), (doc_id, start))
-            if first != (doc_id, start):
-                wanted.append((doc_id, start, stop, *first))
-    same(removed, wanted)
-
-
-def test_short_units_and_unspaced_passages_go(spark):
-    passage = "昨日は雨が降っていました。今日はとても良い天気です。明日は山へ行く予定です。"
-    rows = [(1, f"Home\nOne. Two of it.\n始まり。{passage}"), (2, f"Home\nTwo of it. Three.\n{passage}別の終わり。")]
-    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
-    texts = {r.doc_id: r.text for r in passages.cleaned(docs, passages.removals(docs)).collect()}
-    assert texts[1] == rows[0][1] and "".join(texts[2].split()) == "Three.別の終わり。"
-
-
 def test_units_cover_texts(docs):
     for _, text in texts_of(docs):
         at = 0
@@ -557,19 +535,6 @@ def test_units_cover_texts(docs):
         assert not (text or "")[at:].strip()
 
 
-def test_cleaned_texts(tiny):
-    removed = passages.removals(tiny)
-    spans = defaultdict(set)
-    for doc_id, start, stop, *_ in rows_of(removed):
-        spans[doc_id].add((start, stop))
-    texts = dict(texts_of(tiny))
-    for r in passages.cleaned(tiny, removed).collect():
-        left, at = "", 0
-        for start, stop in sorted(spans[r.doc_id]):
-            left, at = left + texts[r.doc_id][at:start], stop
-        assert r.text == left + texts[r.doc_id][at:]
-
-
 # pipeline
 
 
