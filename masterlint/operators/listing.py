@@ -15,7 +15,7 @@ from masterlint.sources.catalog import Catalog
 from masterlint.sources.schemas import SOURCES
 
 
-def _dealt_anew(key: str) -> Column:
+def dealt_anew(key: str) -> Column:
     """``key`` as the key of a join below which Spark places a shuffle of its own.
 
     Adaptive execution splits a hot key only if nothing stands between a join and its
@@ -81,7 +81,7 @@ def _joined(catalog: Catalog, codes: list[str], terms: tuple[Term, ...], shown:
     key = SOURCES[first].key
     rows = sides[0]
     for position, (code, side) in enumerate(zip(codes[1:], sides[1:], strict=True)):
-        left = F.col(f"{first}.{key}") if position == 0 else _dealt_anew(f"{first}.{key}")
+        left = F.col(f"{first}.{key}") if position == 0 else dealt_anew(f"{first}.{key}")
         rows = rows.join(side, left == F.col(f"{code}.{key}"))
     if len(terms) == 1:
         return rows
@@ -112,9 +112,9 @@ def flagged_groups(catalog: Catalog) -> DataFrame:
     members = (
         grouped.group_codes(catalog)
         .filter("ITEMS > 0 AND CODE IS NOT NULL AND BISMT IS NOT NULL")
-        .select(_dealt_anew("BISMT").alias("MEMBER_OF"), "CODE", F.lit(True).alias("FOUND"))
+        .select(dealt_anew("BISMT").alias("MEMBER_OF"), "CODE", F.lit(True).alias("FOUND"))
     )
-    facts = facts.withColumn("GROUP", _dealt_anew("BISMT")).drop("BISMT")
+    facts = facts.withColumn("GROUP", dealt_anew("BISMT")).drop("BISMT")
     found = (F.col("BISMT") == F.col("MEMBER_OF")) & (F.col("SUBSTITUTE5") == F.col("CODE"))
     rows = goods.join(members, found, "left").join(facts, F.col("BISMT") == F.col("GROUP"), "left")
     grouping = F.col("BISMT").isNotNull()
@@ -203,8 +203,8 @@ def repeated_contacts(catalog: Catalog) -> DataFrame:
         catalog.table("K").filter(F.expr(grouped.IN_SCOPE)).groupBy("LIFNR", "PARNR").agg(F.count(F.lit(1)).alias("ROWS"))
     )
     vendors = catalog.table("L").filter(F.expr(grouped.IN_SCOPE)).groupBy("LIFNR").agg(F.count(F.lit(1)).alias("COPIES"))
-    contacts = contacts.withColumn("VENDOR", _dealt_anew("LIFNR"))
-    vendors = vendors.select(_dealt_anew("LIFNR").alias("VENDOR"), "COPIES")
+    contacts = contacts.withColumn("VENDOR", dealt_anew("LIFNR"))
+    vendors = vendors.select(dealt_anew("LIFNR").alias("VENDOR"), "COPIES")
     return contacts.join(vendors, "VENDOR").filter(F.col("ROWS") * F.col("COPIES") > 1).select("LIFNR", "PARNR")
 
 

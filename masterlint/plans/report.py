@@ -86,19 +86,25 @@ def utc_date(instant: str) -> Column:
     return F.date_add(F.lit("1970-01-01").cast("date"), days)
 
 
+MAXIMA = ("RESULT_ID", "TOTAL_RECORDS", "FAILED_RECORDS", "PASSED_PERCENTAGE", "STATUS", "DETAILS")
+
+
+def daily_maxima(facts: DataFrame) -> DataFrame:
+    """Per rule and UTC day the column-wise maxima of its results; of maxima again the same maxima."""
+    day = F.col("EXECUTION_DATE") if "EXECUTION_DATE" in facts.columns else utc_date("EXECUTION_TIME")
+    return facts.groupBy("RULE_ID", day.alias("EXECUTION_DATE")).agg(*[F.max(name).alias(name) for name in MAXIMA])
+
+
+def described(daily: DataFrame, dimension: DataFrame) -> DataFrame:
+    """Daily maxima with the rule's description. The dimension is left to Catalyst, which broadcasts it if its
+    size allows."""
+    shown = [name for name in DIMENSION_SCHEMA.names if name != "RULE_ID"]
+    return daily.join(dimension.select("RULE_ID", *shown), "RULE_ID", "left")
+
+
 def daily_cube(facts: DataFrame, dimension: DataFrame) -> DataFrame:
-    """Per rule and UTC day the column-wise maxima of its results, with the rule's description.
+    """Per rule and UTC day the maxima of its results, with the rule's description.
 
-    The maxima are taken column by column, so two runs on one day may mix. The
-    dimension is left to Catalyst, which broadcasts it if its size allows.
+    The maxima are taken column by column, so two runs on one day may mix.
     """
-    daily = facts.groupBy("RULE_ID", utc_date("EXECUTION_TIME").alias("EXECUTION_DATE")).agg(
-        *[
-            F.max(name).alias(name)
-            for name in (
-                "RESULT_ID", "TOTAL_RECORDS", "FAILED_RECORDS", "PASSED_PERCENTAGE", "STATUS", "DETAILS",
-            )
-        ]
-    )
-    described = [name for name in DIMENSION_SCHEMA.names if name != "RULE_ID"]
-    return daily.join(dimension.select("RULE_ID", *described), "RULE_ID", "left")
+    return described(daily_maxima(facts.select(*FACT_SCHEMA.names)), dimension)

@@ -1,18 +1,25 @@
-"""Result tables: the append-only results and the replaced daily cube."""
+"""Result tables: the append-only results and the daily cube, replaced or merged."""
 
 from __future__ import annotations
 
+import re
+import uuid
 from dataclasses import dataclass
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from masterlint.plans.report import DIMENSION_SCHEMA, FACT_SCHEMA, daily_cube, stamped
+from masterlint.plans.report import DIMENSION_SCHEMA, FACT_SCHEMA, MAXIMA, daily_cube, daily_maxima, described, stamped
 
 RESULTS = "FACT_DQ_RESULTS"
 CUBE = "CUBE_DQ"
 DIMENSION = "DIM_DQ_RULES"
 PARTITION = "EXECUTION_DATE"
+#: Result files that the cube holds.
+MERGED = "CUBE_DQ_MERGED"
+#: A name in the form of a UUID from a text.
+NAMED_ID = r"regexp_replace(md5({}), '^(.{{8}})(.{{4}})(.{{4}})(.{{4}})', '$1-$2-$3-$4-')".format
 
 
 @dataclass(frozen=True)
@@ -37,14 +44,55 @@ class Store:
         else:
             writer.parquet(f"{self.root}/{name}")
 
-    def append_results(self, graded: DataFrame) -> None:
-        """Adds one row per rule, stamped with an id and the time, to the day's partition.
+    def append_results(self, graded: DataFrame, run_id: str | None = None, at: datetime | None = None) -> str:
+        """Adds one row per rule to the day's partition, once for each ``run_id``, which is returned.
 
-        ``graded`` should be materialised: it is evaluated again on a task retry.
+        The rows are written aside and then published as one file, named after the run, by a rename. A run that
+        fails before it has added nothing; one that is repeated, whether it failed or not, finds its file and
+        adds nothing more. Ids of results follow from the run's and the rule's. ``graded`` should be
+        materialised: it is evaluated again on a task retry.
         """
-        rows = stamped(graded, F.expr("uuid()"), F.current_timestamp())
-        # the rows of one run are few: one file a day and run instead of one per task
-        self.write(RESULTS, rows.coalesce(1), "append", PARTITION)
+        run_id, at = run_id or uuid.uuid4().hex, at or datetime.now(UTC)
+        if not re.fullmatch(r"[\w.-]+", run_id):
+            raise ValueError(f"run id {run_id!r} cannot name a file")
+        day = at.astimezone(UTC).date()
+        rows = stamped(graded, F.expr(NAMED_ID(f"concat('{run_id}-', RULE_ID)")), F.lit(at))
+        if self.database and not self.has(RESULTS):
+            self.write(RESULTS, rows.limit(0), "append", PARTITION)
+        table = self._location(RESULTS)
+        files = self._files(table)
+        name = f"run-{run_id}.parquet"
+        # on whatever day the first attempt was made
+        if not files.globStatus(self._path(f"{table}/{PARTITION}=*/{name}")):
+            aside = f"{table}/_staging/{uuid.uuid4().hex}"
+            try:
+                rows.drop(PARTITION).coalesce(1).write.parquet(aside)
+                files.mkdirs(self._path(f"{table}/{PARTITION}={day}"))
+                for part in files.globStatus(self._path(f"{aside}/part-*.parquet")):
+                    self._publish(part.getPath(), f"{table}/{PARTITION}={day}/{name}")
+            finally:
+                files.delete(self._path(aside), True)
+        if self.database:
+            self.spark.sql(f"ALTER TABLE {self.database}.{RESULTS} ADD IF NOT EXISTS PARTITION ({PARTITION} = '{day}')")
+            self.spark.catalog.refreshTable(f"{self.database}.{RESULTS}")
+        return run_id
+
+    def _publish(self, part, target: str) -> None:
+        files = self._files(target)
+        if not files.rename(part, self._path(target)) and not files.exists(self._path(target)):
+            raise OSError(f"{target} could not be published")
+
+    def _location(self, name: str) -> str:
+        if not self.database:
+            return f"{self.root}/{name}"
+        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.database}.{name}")
+        return rows.filter("col_name = 'Location'").first().data_type
+
+    def _path(self, path: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(path)
+
+    def _files(self, path: str):
+        return self._path(path).getFileSystem(self.spark._jsc.hadoopConfiguration())
 
     def results(self, first_day: str | None = None, last_day: str | None = None) -> DataFrame:
         """The recorded results; days outside the range are not read."""
@@ -64,20 +112,66 @@ class Store:
         A day is a partition, and only the partitions written are replaced, when all of them are complete: other
         days stay, and a failed job leaves the cube as it was.
         """
-        cube = daily_cube(self.results(first_day, last_day), dimension)
-        order = cube.columns
-        cube = cube.select(*[c for c in order if c != PARTITION], PARTITION)
-        if self.database and self.spark.catalog.tableExists(f"{self.database}.{CUBE}"):
-            cube.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(f"{self.database}.{CUBE}")
+        self._put_days(daily_cube(self.results(first_day, last_day), dimension))
+        return self.read(CUBE).select(*self._cube_columns())
+
+    @staticmethod
+    def _cube_columns() -> list[str]:
+        return ["RULE_ID", PARTITION, *MAXIMA, *[name for name in DIMENSION_SCHEMA.names if name != "RULE_ID"]]
+
+    def _put_days(self, cube: DataFrame) -> None:
+        cube = cube.select(*[c for c in self._cube_columns() if c != PARTITION], PARTITION)
+        if self.database and self.has(CUBE):
+            # as an option of the writer it would not reach the metastore's table, which then lost its other days
+            setting = "spark.sql.sources.partitionOverwriteMode"
+            before = self.spark.conf.get(setting)
+            self.spark.conf.set(setting, "dynamic")
+            try:
+                cube.write.mode("overwrite").insertInto(f"{self.database}.{CUBE}")
+            finally:
+                self.spark.conf.set(setting, before)
         elif self.database:
             self.write(CUBE, cube, "overwrite", PARTITION)
         else:
             writer = cube.write.mode("overwrite").partitionBy(PARTITION)
             writer.option("partitionOverwriteMode", "dynamic").parquet(f"{self.root}/{CUBE}")
-        return self.read(CUBE).select(*order)
+
+    def result_files(self) -> list[str]:
+        """The files of the recorded results, relative to their table: one for each run."""
+        table = self._location(RESULTS)
+        found = self._files(table).globStatus(self._path(f"{table}/{PARTITION}=*/*.parquet")) or []
+        return sorted("/".join(file.getPath().toString().rsplit("/", 2)[1:]) for file in found)
+
+    def merge_cube(self, dimension: DataFrame) -> DataFrame:
+        """The cube with the result files that it doesn't hold yet; no other result is read.
+
+        Maxima of maxima are maxima, so the stored days are merged with the new files' and written anew; their
+        descriptions are the dimension's, those of other days stay (replace_cube renews all). The files merged
+        are noted last: a run that fails before is made good by the next, and merging a file twice changes
+        nothing. What the driver holds are file names, one for each run.
+        """
+        held = {row.FILE for row in self.read(MERGED).collect()} if self.has(MERGED) and self.has(CUBE) else set()
+        fresh = [file for file in self.result_files() if file not in held]
+        if fresh:
+            table = self._location(RESULTS)
+            facts = self.spark.read.option("basePath", table).parquet(*[f"{table}/{file}" for file in fresh])
+            columns = ["RULE_ID", PARTITION, *MAXIMA]
+            daily = daily_maxima(facts.select(*columns))
+            if held:
+                days = sorted({file.partition("/")[0].partition("=")[2] for file in fresh})
+                stored = self.read(CUBE).filter(F.col(PARTITION).isin([F.lit(day).cast("date") for day in days]))
+                daily = daily_maxima(daily.unionByName(stored.select(*columns)))
+            aside = f"{table}/_staging/{uuid.uuid4().hex}"
+            try:
+                # a day cannot be read and replaced at once
+                described(daily, dimension).write.parquet(aside)
+                self._put_days(self.spark.read.parquet(aside))
+            finally:
+                self._files(aside).delete(self._path(aside), True)
+            self.write(MERGED, self.spark.createDataFrame([(file,) for file in fresh], "FILE string").coalesce(1), "append")
+        return self.read(CUBE).select(*self._cube_columns())
 
     def has(self, name: str) -> bool:
         if self.database:
             return self.spark.catalog.tableExists(f"{self.database}.{name}")
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
+        return self._files(f"{self.root}/{name}").exists(self._path(f"{self.root}/{name}"))

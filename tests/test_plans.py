@@ -9,6 +9,7 @@ import pytest
 from masterlint.functions.conditions import ALWAYS
 from masterlint.operators.grouped import equal_quantities
 from masterlint.operators.listing import violations
+from masterlint.operators.masks import failing_rows, relations
 from masterlint.plans.report import results
 from masterlint.rules.model import Pairs
 from masterlint.rules.registry import DOMAINS, all_rules, rules_of
@@ -54,6 +55,15 @@ def test_listing_plans_build_no_cross_products(staged, rule_id):
     assert "NestedLoop" not in text
 
 
+def test_failing_rows_of_a_relation_take_one_scan_a_table(staged):
+    found = relations(all_rules().values())
+    assert sum(map(len, found.values())) == 101
+    for codes, rules in found.items():
+        text = plan(failing_rows(staged, codes, rules))
+        assert text.count("FileScan parquet") == len(codes)
+        assert "Cartesian" not in text and "NestedLoop" not in text and "Python" not in text
+
+
 def test_filters_and_columns_reach_the_scan(staged):
     text = plan(violations(staged, all_rules()[45]))
     pushed = " ".join(re.findall(r"PushedFilters: \[(.*?)\]", text))

@@ -15,7 +15,7 @@ from masterlint.plans.run import ExportErrors, report, run_rules
 from masterlint.rules.dimension import description
 from masterlint.rules.registry import all_rules
 from masterlint.sinks import exports
-from masterlint.sinks.store import RESULTS, Store
+from masterlint.sinks.store import MERGED, RESULTS, Store
 from masterlint.sources.catalog import Catalog
 from masterlint.sources.schemas import SOURCES
 
@@ -78,7 +78,7 @@ def test_exports_are_sorted_and_whole(spark, catalog, tmp_path, monkeypatch, rul
 def test_sorted_copies_are_all_kept(spark, monkeypatch):
     monkeypatch.setattr(exports, "COPIES_TOGETHER", 10)
     rows = spark.range(100).selectExpr("if(id < 67, 1, id) AS k", "'same' AS v")
-    assert sorted(r.k for r in exports.in_order(rows, ("k DESC",)).collect()) == sorted(r.k for r in rows.collect())
+    assert sorted(r.k for r in exports.in_order(exports.counted(rows), ("k DESC",)).collect()) == sorted(r.k for r in rows.collect())
 
 
 def test_gate():
@@ -121,10 +121,10 @@ def test_run_records_exports_and_reports(spark, catalog, tmp_path):
 
 
 def test_a_failing_export_leaves_the_others(spark, catalog, tmp_path, monkeypatch):
-    def export(catalog, rule, root, at):
+    def export(catalog, rule, *rest):
         if rule.id == 3:
             raise OSError("disk")
-        return exports.export(catalog, rule, root, at)
+        return exports.export(catalog, rule, *rest)
 
     monkeypatch.setattr(run, "export", export)
     store = Store(spark, str(tmp_path / "store"))
@@ -135,6 +135,35 @@ def test_a_failing_export_leaves_the_others(spark, catalog, tmp_path, monkeypatc
     assert len(raised.value.run.results) == store.read(RESULTS).count() == 3
 
 
+def test_one_pass_writes_the_files_of_single_exports(spark, catalog, tmp_path):
+    at = datetime(2024, 3, 1, tzinfo=UTC)
+    rules = [rule for rule in all_rules().values() if rule.listing.frame is None]
+    outcomes = run.write_exports(catalog, rules, str(tmp_path / "together"), at)
+    assert not list((tmp_path / "together").glob("_staging*"))
+    assert sorted(outcomes) == sorted(rule.id for rule in rules)
+    for rule in rules:
+        header, rows = read_parts(outcomes[rule.id])
+        expected = violations(catalog, rule)
+        assert sorted(rows) == sorted(["" if v is None else str(v).lower() if isinstance(v, bool) else str(v) for v in r] for r in expected.collect()), rule.id
+        # without rows Spark writes no header, as a single export does not either
+        assert not rows or header == expected.columns
+    for rule_id in (3, 13, 29, 49, 50):
+        assert read_parts(outcomes[rule_id])[1] == read_parts(exports.export(catalog, all_rules()[rule_id], str(tmp_path / "single"), at))[1]
+
+
+def test_a_relation_that_cannot_be_staged_fails_its_rules_only(spark, catalog, tmp_path, monkeypatch):
+    def stage(catalog, codes, rules, path):
+        if codes == ("M",):
+            raise OSError("full")
+        exports.stage(catalog, codes, rules, path)
+
+    monkeypatch.setattr(run, "stage", stage)
+    rules = [all_rules()[i] for i in (2, 3, 45, 49, 120)]
+    outcomes = run.write_exports(catalog, rules, str(tmp_path), datetime.now(UTC))
+    assert {i for i, outcome in outcomes.items() if isinstance(outcome, OSError)} == {2, 3}
+    assert all(Path(outcomes[i]).is_dir() for i in (45, 49, 120))
+
+
 def test_database_store(spark, tmp_path):
     spark.sql(f"CREATE DATABASE IF NOT EXISTS dq_test LOCATION '{tmp_path}/dq_test'")
     store = Store(spark, database="dq_test")
@@ -150,6 +179,86 @@ def test_database_store(spark, tmp_path):
     spark.sql("DROP DATABASE dq_test CASCADE")
 
 
+GRADED = "RULE_ID long, TOTAL_RECORDS long, FAILED_RECORDS long, PASSED_PERCENTAGE double, STATUS string, DETAILS string"
+
+
+def graded(spark, n):
+    rows = [(rule_id, 10 * n, n % 7 + rule_id, float(n * 37 % 101), "FAILED" if n % 3 else "PASSED", f"d{n * 53 % 10}") for rule_id in (8, 9)]
+    return spark.createDataFrame(rows, GRADED)
+
+
+def test_a_killed_run_is_recorded_once(spark, tmp_path, monkeypatch):
+    store = Store(spark, str(tmp_path))
+    publish = Store._publish
+    at = datetime(2024, 3, 1, 23, 59, tzinfo=UTC)
+
+    def killed_before(self, part, target):
+        raise KeyboardInterrupt
+
+    def killed_behind(self, part, target):
+        publish(self, part, target)
+        raise KeyboardInterrupt
+
+    for run_id, killed in (("a", killed_before), ("b", killed_behind)):
+        monkeypatch.setattr(Store, "_publish", killed)
+        with pytest.raises(KeyboardInterrupt):
+            store.append_results(graded(spark, 1), run_id, at)
+        monkeypatch.setattr(Store, "_publish", publish)
+        # tried again on the next day, and once more
+        for _ in range(2):
+            assert store.append_results(graded(spark, 1), run_id, at.replace(month=4)) == run_id
+    facts = store.results().collect()
+    assert len(facts) == len({row.RESULT_ID for row in facts}) == 4
+    assert store.result_files() == ["EXECUTION_DATE=2024-03-01/run-b.parquet", "EXECUTION_DATE=2024-04-01/run-a.parquet"]
+    assert {(row.RULE_ID, *tuple(row)[3:]) for row in facts} == {tuple(row) for row in graded(spark, 1).collect()}
+    with pytest.raises(ValueError, match="cannot name a file"):
+        store.append_results(graded(spark, 1), "../x")
+
+
+@pytest.mark.parametrize("kind", ["path", "database"])
+def test_ten_increments_make_the_whole_cube(spark, tmp_path, monkeypatch, kind):
+    if kind == "path":
+        store = Store(spark, str(tmp_path))
+    else:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS dq_merged LOCATION '{tmp_path}/dq_merged'")
+        store = Store(spark, database="dq_merged")
+    dimension = spark.createDataFrame([description(all_rules()[8], datetime(2024, 1, 1))], DIMENSION_SCHEMA)
+    read: list[set[str]] = []
+    for n in range(10):
+        store.append_results(graded(spark, n), f"run{n}", datetime(2024, 3, 1 + n // 3, 8 + n % 3, tzinfo=UTC))
+        if n == 5:
+            # a failure before the files are noted: the next increment merges them again
+            monkeypatch.setattr(Store, "write", lambda *args: (_ for _ in ()).throw(OSError("lost")))
+            with pytest.raises(OSError, match="lost"):
+                store.merge_cube(dimension)
+            monkeypatch.undo()
+        if n != 7:
+            store.merge_cube(dimension)
+        read.append(set(store.result_files()))
+    assert [len(files) for files in read] == list(range(1, 11))
+    merged = sorted(tuple(row) for row in store.merge_cube(dimension).collect())
+    assert merged == sorted(tuple(row) for row in daily_cube(store.results(), dimension).collect())
+    assert len(merged) == 8
+    assert sorted(row.FILE for row in store.read(MERGED).collect()) == store.result_files()
+    if kind == "database":
+        spark.sql("DROP DATABASE dq_merged CASCADE")
+
+
+def test_an_increment_reads_new_files_only(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    dimension = spark.createDataFrame([], DIMENSION_SCHEMA)
+    for n in range(3):
+        store.append_results(graded(spark, n), f"run{n}", datetime(2024, 3, 1, n, tzinfo=UTC))
+    store.merge_cube(dimension)
+    # an old file that is no parquet any more does not matter
+    (tmp_path / RESULTS / "EXECUTION_DATE=2024-03-01" / "run-run1.parquet").write_text("gone")
+    store.append_results(graded(spark, 9), "run9", datetime(2024, 3, 1, 9, tzinfo=UTC))
+    rows = store.merge_cube(dimension).collect()
+    expected = [graded(spark, n).collect() for n in (0, 1, 2, 9)]
+    assert [row.TOTAL_RECORDS for row in rows] == [90, 90]
+    assert {row.RULE_ID: row.FAILED_RECORDS for row in rows} == {i: max(r.FAILED_RECORDS for rs in expected for r in rs if r.RULE_ID == i) for i in (8, 9)}
+
+
 @pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Tokyo"])
 def test_cube_mixes_runs_of_a_utc_day(spark, zone):
     before = spark.conf.get("spark.sql.session.timeZone")
