@@ -206,38 +206,60 @@ def contact_mail(catalog: Catalog) -> DataFrame:
     return contacts.join(vendors, "LIFNR").agg(F.sum(F.col("CONTACTS") * F.col("VENDOR_BLANKS")).alias("FAILED"))
 
 
+def case_weight(unit: str, units: str) -> str:
+    """Weight of so many units, rounded to thousandths: exact for weights of up to 17 digits before the point and
+    9 behind it, and for numbers of up to 11 digits. Wider types would lose places of the product."""
+    return f"round(cast({unit} AS decimal(26,9)) * cast({units} AS decimal(11,0)), 3)"
+
+
 def equal_quantities(catalog: Catalog) -> DataFrame:
     """Pairs (material, unit) whose quantities agree, for cases and for KG units.
 
-    CASES: unit weight times UMREZ is the case weight. Weights have three decimals, so
-    in thousandths the only unit weight that fits a case is an exact quotient.
-    RATIOS: UMREN / UMREZ is the net weight. Either way the comparison becomes an
-    equality of one value on each side, so equal pairs come from an equi-join of
-    counts per value, and differing pairs never have to be built. The values travel as
-    texts: a join on doubles would normalise its key and shuffle the counts once more.
+    CASES: unit weight times UMREZ, in thousandths, is the case weight. RATIOS: UMREN / UMREZ is the net weight.
+    Either way the comparison becomes an equality of one value on each side, so equal pairs come from an
+    equi-join of counts per value, and differing pairs never have to be built. If unit weights have three places,
+    the only one that fits a case is an exact quotient. Of finer ones a small range fits: their joint value is
+    the thousandth they lie in, of which a case's range touches two at most, and what shares one is compared.
+    The values travel as texts: a join on doubles would normalise its key and shuffle the counts once more.
     """
-    thousandths = "cast(BRGEW * 1000 AS bigint)"
+    thousandths = "cast(round(BRGEW, 3) * 1000 AS bigint)"
     ratio = "cast({} + 0.0D AS string)".format  # without a negative zero
     goods = catalog.table("M").filter(F.expr(f"{GOODS} AND MATNR IS NOT NULL"))
+    fine = goods.schema["BRGEW"].dataType.scale > 3
+    weight = "cast(floor(cast(BRGEW AS decimal(26,9)) * 1000) AS bigint)" if fine else thousandths
     asked = goods.selectExpr(
         "MATNR",
         f"""inline(array(
-            named_struct('KIND', 'CASES', 'VALUE', cast(if(MEINS = 'ST', {thousandths}, NULL) AS string)),
-            named_struct('KIND', 'RATIOS', 'VALUE', {ratio('cast(NTGEW AS double)')})))""",
+            named_struct('KIND', 'CASES', 'VALUE', cast(if(MEINS = 'ST', {weight}, NULL) AS string), 'WEIGHT', BRGEW),
+            named_struct('KIND', 'RATIOS', 'VALUE', {ratio('cast(NTGEW AS double)')}, 'WEIGHT', NULL)))""",
     )
     units = catalog.table("R").filter("MATNR IS NOT NULL AND UMREZ <> 0 AND MEINH IN ('CS', 'KG')")
-    quotient = f"if(try_mod({thousandths}, UMREZ) = 0, {thousandths} div UMREZ, NULL)"
+    if fine:
+        # rounded products lie from half a thousandth below the case weight to half a thousandth above
+        doubled = [f"(2 * {thousandths} {sign} 1) * if(UMREZ < 0, -1, 1)" for sign in "-+"]
+        ends = [f"({twice} - pmod({twice}, 2 * abs(UMREZ))) div (2 * abs(UMREZ))" for twice in doubled]
+        values = f"sequence(least({', '.join(ends)}), greatest({', '.join(ends)}))"
+        cases = f"transform({values}, v -> cast(v AS string))"
+    else:
+        cases = f"array(cast(if(try_mod({thousandths}, UMREZ) = 0, {thousandths} div UMREZ, NULL) AS string))"
     offered = units.selectExpr(
         "MATNR",
         "if(MEINH = 'CS', 'CASES', 'RATIOS') AS KIND",
-        f"if(MEINH = 'CS', cast({quotient} AS string), {ratio('try_divide(UMREN, UMREZ)')}) AS VALUE",
+        f"explode(if(MEINH = 'CS', if(BRGEW IS NULL, NULL, {cases}), array({ratio('try_divide(UMREN, UMREZ)')}))) AS VALUE",
+        "if(MEINH = 'CS', UMREZ, NULL) AS UNITS",
+        "if(MEINH = 'CS', round(BRGEW, 3), NULL) AS CASE_WEIGHT",
     )
-    pairs = _copies(asked, "ASKED").join(_copies(offered, "OFFERED"), ["MATNR", "KIND", "VALUE"])
+    if fine:
+        sides = _copies(asked, "ASKED", "WEIGHT"), _copies(offered, "OFFERED", "UNITS", "CASE_WEIGHT")
+        agree = f"KIND = 'RATIOS' OR {case_weight('WEIGHT', 'UNITS')} = CASE_WEIGHT"
+    else:
+        sides, agree = (_copies(asked, "ASKED"), _copies(offered, "OFFERED")), "TRUE"
+    pairs = sides[0].join(sides[1], ["MATNR", "KIND", "VALUE"]).filter(agree)
     return pairs.agg(
         *[F.expr(f"sum(CASE WHEN KIND = '{kind}' THEN ASKED * OFFERED END) AS {kind}") for kind in ("CASES", "RATIOS")]
     )
 
 
-def _copies(values: DataFrame, name: str) -> DataFrame:
-    """Rows per material, kind and value."""
-    return values.filter("VALUE IS NOT NULL").groupBy("MATNR", "KIND", "VALUE").agg(F.count(F.lit(1)).alias(name))
+def _copies(values: DataFrame, name: str, *exact: str) -> DataFrame:
+    """Rows per material, kind, value and what else decides."""
+    return values.filter("VALUE IS NOT NULL").groupBy("MATNR", "KIND", "VALUE", *exact).agg(F.count(F.lit(1)).alias(name))

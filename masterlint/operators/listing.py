@@ -167,7 +167,7 @@ def unbalanced_weights(catalog: Catalog) -> DataFrame:
     case = catalog.table("R").filter("MEINH = 'CS'").alias("R")
     return (
         unit.join(case, "MATNR")
-        .filter(F.round(F.col("M.BRGEW") * F.col("R.UMREZ"), 3) != F.round(F.col("R.BRGEW"), 3))
+        .filter(f"{grouped.case_weight('M.BRGEW', 'R.UMREZ')} <> round(R.BRGEW, 3)")
         .select(
             F.col("M.MATNR5").alias("MATNR"),
             "R.UMREZ",

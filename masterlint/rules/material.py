@@ -476,7 +476,7 @@ def _units() -> list[Rule]:
             74, "NUMERIC", S99,
             (
                 Pairs(({"M": weighed, "R": case_weighed},)),
-                Pairs(({"M": weighed, "R": both(case_weighed, "UMREZ = 0", "BRGEW = 0")},), sign=-1),
+                Pairs(({"M": weighed, "R": both(case_weighed, "UMREZ = 0", "round(BRGEW, 3) = 0")},), sign=-1),
                 Computed(grouped.equal_quantities, "CASES", sign=-1),
             ),
             goods_with(*both_units), listing.unbalanced_weights,

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from masterlint.functions import keys
 from masterlint.sources import samples
-from masterlint.sources.schemas import SOURCES
+from masterlint.sources.schemas import SOURCES, read_as
 
 
 class Catalog:
@@ -50,9 +50,9 @@ class Catalog:
         there = {name.upper() for name in loaded.columns}
         if missing := [name for name in source.schema.names if name.upper() not in there]:
             raise ValueError(f"{source.table} has no column {', '.join(missing)}")
-        df = loaded.selectExpr(
-            *[f"cast({field.name} AS {field.dataType.simpleString()}) AS {field.name}" for field in source.schema]
-        )
+        given = {field.name.upper(): field.dataType for field in loaded.schema}
+        kinds = {field.name: read_as(field.dataType, given[field.name.upper()]) for field in source.schema}
+        df = loaded.selectExpr(*[f"cast({name} AS {kind.simpleString()}) AS {name}" for name, kind in kinds.items()])
         if source.key == "MATNR":
             df = keys.material_keys(df)
         if source.key == "LIFNR":

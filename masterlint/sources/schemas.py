@@ -12,9 +12,21 @@ from dataclasses import dataclass
 from pyspark.sql import types as T
 
 QUANTITY = T.DecimalType(13, 3)
+#: Quantities that come with more places, or as text or floating point.
+FINE_QUANTITY = T.DecimalType(38, 9)
 COUNT = T.LongType()
 
 
+def read_as(declared: T.DataType, given: T.DataType) -> T.DataType:
+    """The type a column is read as: quantities keep the places that their source has."""
+    if declared != QUANTITY or given == QUANTITY:
+        return declared
+    if isinstance(given, T.DecimalType):
+        fits = given.scale <= QUANTITY.scale and given.precision - given.scale <= QUANTITY.precision - QUANTITY.scale
+        return QUANTITY if fits else given
+    return FINE_QUANTITY if isinstance(given, (T.StringType, T.FractionalType)) else QUANTITY
+
+
 @dataclass(frozen=True)
 class Source:
     table: str
