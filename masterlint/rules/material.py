@@ -20,7 +20,6 @@ from masterlint.functions.conditions import (
     trimmed,
     zero_or_missing,
 )
-from masterlint.functions.keys import PLATFORM_OFFSET, ZONE_START
 from masterlint.operators import grouped, listing
 from masterlint.operators.grouped import GOODS
 from masterlint.rules.model import S90, S95, S99, Computed, Keys, Listing, Measure, Pairs, Policy, Repeats, Rows, Rule, Term
@@ -31,18 +30,20 @@ KEYED_GOODS = both(GOODS, present("MATNR"))
 SHORT = "MATNR5 AS MATNR"
 M_SHORT = "M.MATNR5 AS MATNR"
 
-PLATFORMS = tuple(str(p) for p in PLATFORM_OFFSET)
-
 # Characters that a description must not contain.
 FORBIDDEN_CHARACTERS = r"""['"¡!#*\\`´ÁÉÍÓÚáéíóú]"""
 
 
-def zone_plants(offsets: range, zones: tuple[str, ...] = ("1", "3", "4")) -> tuple[str, ...]:
-    return tuple(str(ZONE_START[zone] + offset) for zone in zones for offset in offsets)
-
-
-SALES_PLANTS = (*zone_plants(range(3)), *PLATFORMS)
-STOCK_PLANTS = zone_plants(range(3, 8))
+# The platforms, the plants of each temperature zone, those that sell and those that hold stock.
+PLATFORMS = ("4300", "4400")
+CHILLED_PLANTS = ("6240", "6241", "6242", "6243", "6244", "6245", "6246", "6247")
+DRY_PLANTS = ("6340", "6341", "6342", "6343", "6344", "6345", "6346", "6347")
+FROZEN_PLANTS = ("6440", "6441", "6442", "6443", "6444", "6445", "6446", "6447")
+SALES_PLANTS = ("6440", "6441", "6442", "6240", "6241", "6242", "6340", "6341", "6342", "4300", "4400")
+STOCK_PLANTS = (
+    "6443", "6444", "6445", "6446", "6447", "6243", "6244", "6245", "6246", "6247", "6343", "6344", "6345", "6346", "6347",
+)
+PLANNED_STOCK_PLANTS = ("6443", "6444", "6445", "6446", "6447", "6343", "6344", "6345", "6346", "6347")
 # Plants without special procurement, plants an external platform supplies, plants without a
 # strategy group.
 UNPROCURED_PLANTS = ("6443", "6444", "6445", "6343", "6344", "6345", "6243", "6244", "6245")
@@ -267,8 +268,8 @@ def _plants() -> list[Rule]:
         "RAW_DIGIT = '1' AND MTART = 'ZMER'", "RAW_DIGIT = '3' AND MTART = 'ZFRE'", "RAW_DIGIT = '4' AND MTART = 'ZSEC'"
     )
     wrong_plant = either(
-        both("DIGIT IN ('1', '3')", outside("PLANT", *zone_plants(range(8), ("1", "3")), *PLATFORMS)),
-        both("DIGIT = '4'", outside("PLANT", *zone_plants(range(8), ("4",)), *PLATFORMS)),
+        both("DIGIT IN ('1', '3')", outside("PLANT", *FROZEN_PLANTS, *CHILLED_PLANTS, *PLATFORMS)),
+        both("DIGIT = '4'", outside("PLANT", *DRY_PLANTS, *PLATFORMS)),
     )
     buyer_fits = either(
         "DIGIT = '1' AND EKGRP = '001'", "DIGIT = '3' AND EKGRP = 'Z15'", "DIGIT = '4' AND EKGRP = 'Z12'"
@@ -277,7 +278,7 @@ def _plants() -> list[Rule]:
         both(is_in("WERKS", STOCK_PLANTS), missing("MMSTA")), both(is_in("WERKS", SALES_PLANTS), present("MMSTA"))
     )
     planning_fits = either(
-        both(is_in("WERKS", zone_plants(range(3, 8), ("1", "4"))), "DISMM = 'ND'"),
+        both(is_in("WERKS", PLANNED_STOCK_PLANTS), "DISMM = 'ND'"),
         both(is_in("WERKS", SALES_PLANTS), is_in("DISMM", ("ND", "PD"))),
     )
     # Special procurement keys and the plant each must not be used in.
