@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -19,9 +20,11 @@ def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> Data
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors see. Only a session without one, as in tests, gets a folder of its own."""
+    """The folder all executors see. Only a session on one machine gets a folder of its own where none is set."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="masterlint-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
@@ -78,11 +81,12 @@ def components(edges: DataFrame, label: str) -> DataFrame:
 
     Alternates two steps: every node hands its larger neighbours, then its smaller ones, to the smallest node
     it knows. Each round is written to the shared folder; it ends when a round changes nothing. Nothing of the
-    graph reaches the driver but a row count and a checksum.
+    graph reaches the driver but a row count and a checksum. The joins are on computed keys, below which Spark
+    deals the edges anew, so that adaptive execution splits a node with very many neighbours.
     """
 
     def least(df: DataFrame) -> DataFrame:
-        return df.groupBy("a").agg(F.min("b").alias("m"))
+        return df.groupBy("a").agg(F.min("b").alias("m")).selectExpr("CAST(a AS string) AS of", "m")
 
     def state(df: DataFrame) -> tuple:
         return tuple(df.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
@@ -91,11 +95,9 @@ def components(edges: DataFrame, label: str) -> DataFrame:
     edges = written(edges, label)
     before = state(edges)
     while before[0]:
-        both = edges.unionByName(edges.selectExpr("b AS a", "a AS b"))
-        known = least(both).selectExpr("a", "least(a, m) AS m")
-        large = both.join(known, "a").where("b > a").selectExpr("b AS a", "m AS b")
-        large = large.distinct()
-        small = large.join(least(large), "a").selectExpr("inline(array(struct(a, m AS b), struct(b AS a, m AS b)))")
+        # the least neighbour of b, if it is less than b; it knows no other, so none of its larger ones is asked
+        large = edges.join(least(edges), F.expr("CAST(b AS string) = of"), "left").selectExpr("a", "coalesce(m, b) AS b").distinct()
+        small = large.join(least(large), F.expr("CAST(a AS string) = of")).selectExpr("inline(array(struct(a, m AS b), struct(b AS a, m AS b)))")
         edges = written(small.where("a <> b").distinct(), label)
         after = state(edges)
         if after == before:

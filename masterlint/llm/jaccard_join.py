@@ -278,7 +278,7 @@ def _grouped(rows: DataFrame, order: list[str], search: Callable) -> DataFrame:
 
 def _fingerprints(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in pieces(batches):
-        sets = [shingler()(text) for text in batch.column(2).to_pylist()]
+        sets = [shingler()(text) for text in batch.column(3).to_pylist()]
         with np.errstate(over="ignore"):
             sums = [(int(s.sum(dtype=np.uint64)), int(mixed(s * _MIX[0] + _MIX[1]).sum(dtype=np.uint64))) for s in sets]
         maps = [bitmap(s).tobytes() if len(s) > 3 else b"" for s in sets]
@@ -286,14 +286,13 @@ def _fingerprints(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         offsets = np.concatenate(([0], np.cumsum([len(k) for k in keys]))).astype(np.int32)
         yield pa.RecordBatch.from_arrays(
             [
-                batch.column(0),
-                batch.column(1),
+                *batch.columns[:3],
                 pa.array([len(s) for s in sets], pa.int64()),
                 *[pa.array(np.array([x[i] for x in sums], dtype=np.uint64).view(np.int64)) for i in (0, 1)],
                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*keys, np.empty(0, np.int64)]))),
                 pa.array(maps, pa.binary()),
             ],
-            names=["doc_id", "number", "n", "s1", "s2", "keys", "bits"],
+            names=["doc_id", "number", "text_id", "n", "s1", "s2", "keys", "bits"],
         )
 
 
@@ -304,10 +303,18 @@ def cluster(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     doc_id takes part, but never names a component; a component without any id is null. Rows that share a
     doc_id are each compared. An empty table gives no rows. Other columns are ignored.
     """
+    found = _placed(docs, block)
+    root = F.when(F.col("n") > 0, F.coalesce("root", "number")).otherwise(F.col("number"))
+    return found.select("doc_id", F.col("n").alias("n_shingles"), F.when(root < NO_ID, root).cast(docs.schema["doc_id"].dataType).alias("component_id"))
+
+
+def _placed(docs: DataFrame, block: int = BLOCK) -> DataFrame:
+    """doc_id, number, text_id, n, s1, s2, root and linked of every row of docs; the last two are null for a
+    set that comes once and links with nothing."""
     number = f"coalesce(CAST(doc_id AS bigint), {NO_ID}L + (xxhash64(text) & {NO_ID // 2 - 1}L))"
-    texts = docs.selectExpr("doc_id", f"{number} AS number", "text")
+    texts = docs.selectExpr("doc_id", f"{number} AS number", "xxhash64(text) AS text_id", "text")
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {id_type}, number bigint, n bigint, s1 bigint, s2 bigint, keys array<bigint>, bits binary"
+    schema = f"doc_id {id_type}, number bigint, text_id bigint, n bigint, s1 bigint, s2 bigint, keys array<bigint>, bits binary"
     numbered = texts.mapInArrow(_fingerprints, schema).withColumn("row", F.monotonically_increasing_id())
     prints = written(numbered, "shingles")
     of_sets = prints.where("n > 0").groupBy("s1", "s2").agg(F.min("number").alias("node"), F.min_by("row", "number").alias("row"), F.count("*").alias("copies"))
@@ -336,18 +343,27 @@ def cluster(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     roots = components(links, "components")
     grouped = sets.join(roots, "node", "left").select("s1", "s2", F.coalesce("root", "node").alias("root"), "copies", F.col("root").isNotNull().alias("linked"))
     # sets of one row that link with nothing need no lookup
-    known = written(grouped.where("copies > 1 OR linked").select("s1", "s2", "root"), "component-of-set")
-    found = prints.select("doc_id", "number", "n", "s1", "s2").join(known, ["s1", "s2"], "left")
-    root = F.when(F.col("n") > 0, F.coalesce("root", "number")).otherwise(F.col("number"))
-    return found.select(
-        "doc_id",
-        F.col("n").alias("n_shingles"),
-        F.when(root < NO_ID, root).cast(id_type).alias("component_id"),
-    )
+    known = written(grouped.where("copies > 1 OR linked").select("s1", "s2", "root", "linked"), "component-of-set")
+    return prints.select("doc_id", "number", "text_id", "n", "s1", "s2").join(known, ["s1", "s2"], "left")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of docs that stand for their component, with all columns: those whose id names it, and those
-    without an id or a component."""
-    copies = cluster(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("copy_id")).distinct()
-    return docs.join(written(copies, "copies"), F.expr("doc_id = copy_id"), "left_anti")
+    """One row of docs of each group of equal or linked sets, with all columns: the smallest (doc_id, text_id),
+    null ids last, text_id a hash of the text; of rows equal in both any one.
+
+    Rows without a shingle all stay. Different texts of one doc_id are one node of the links: if one of them
+    links, all are in its group. An empty table stays empty; columns of docs may have any names.
+    """
+    placed = _placed(docs).where("n > 0 AND root IS NOT NULL")
+    group = "IF(linked, struct(root AS a, -1L AS b, 0L AS c), struct(0L AS a, s1 AS b, s2 AS c)) AS group"
+    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_id")
+    keys = written(placed.selectExpr("doc_id", "text_id", group).groupBy("group", "doc_id", "text_id").agg(F.count("*").alias("rows")), "grouped-rows")
+    firsts = keys.groupBy("group").agg(F.min(rank).alias("kept"))
+    ranked = keys.join(firsts, "group").withColumn("first", F.expr("doc_id <=> kept.doc_id AND text_id = kept.text_id"))
+    # rows that go, and those of which one stays
+    decided = written(ranked.where("NOT first OR rows > 1").select(F.col("doc_id").alias("of_id"), F.col("text_id").alias("of_text"), "first"), "copies")
+    same = "whole.doc_id <=> of_id AND xxhash64(whole.text) = of_text"
+    whole = docs.select(F.struct("*").alias("whole"))
+    stay = whole.join(decided, F.expr(same), "left_anti").select("whole.*")
+    repeated = whole.join(decided.where("first"), F.expr(same)).groupBy("of_id", "of_text").agg(F.first("whole").alias("whole"))
+    return stay.unionByName(repeated.select("whole.*"))

@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from masterlint.llm.common import pieces
 
@@ -137,5 +138,5 @@ def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], keep: list[str]
             )
 
     rows = docs.select(*keep, F.col("text").alias("read_text"))
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema]
-    return rows.mapInArrow(answers, ", ".join([*fields, "lang_pred string", "score double"]))
+    answer = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
+    return rows.mapInArrow(answers, T.StructType([*rows.schema.fields[:-1], *answer]))

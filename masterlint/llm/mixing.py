@@ -1,7 +1,7 @@
 """Mixing sources to target weights, as DataFrame operations.
 
 A source's rate is its target over its size. Every document is taken floor(rate) times, and once more if a
-number drawn from its id by hash is below the fraction that is left.
+number drawn by hash from its id, its text and its number among equal rows is below the fraction that is left.
 """
 
 from __future__ import annotations
@@ -48,9 +48,30 @@ def _sized(docs: DataFrame) -> DataFrame:
     return docs.withColumn("size", F.coalesce(F.regexp_count("text", F.lit(WORD)).cast("bigint"), F.lit(0).cast("bigint")))
 
 
-def _draw() -> str:
-    """A number in [0, 1) from the document's id."""
-    return f"conv(substr(md5(concat('{SEED}', coalesce(CAST(doc_id AS string), ''))), 1, 12), 16, 10) / 281474976710656D"
+#: A digest of the text, by which rows of one id or none draw apart.
+DIGEST = "md5(encode(coalesce(text, ''), 'UTF-8'))"
+#: A number in [0, 1).
+DRAW = f"conv(substr(md5(concat('{SEED}', coalesce(CAST(doc_id AS string), ''), ':', digest, ':', place)), 1, 12), 16, 10) / 281474976710656D"
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """rows (doc_id, digest, lane, ...) with place, their number (from 0) among rows of equal doc_id and digest.
+
+    A lane is the partition a row was read in. A lane's rows of a kind are numbered on from those of the lanes
+    before, so no task sees more of a kind than one partition held, and of a kind numbers depend on no lane. Only
+    rows that come repeatedly are shuffled for it.
+    """
+    lanes = rows.groupBy("doc_id", "digest", "lane").agg(F.count("*").alias("n"))
+    of_kind = Window.partitionBy("doc_id", "digest")
+    before = F.sum("n").over(of_kind.orderBy("lane")) - F.col("n")
+    counted = lanes.select(F.col("doc_id").alias("of_id"), F.col("digest").alias("of_digest"), F.col("lane").alias("of_lane"), before.alias("before"), F.sum("n").over(of_kind).alias("total"))
+    repeated = written(counted.where("total > 1").drop("total"), "mix-repeated")
+    if repeated.isEmpty():
+        return rows.withColumn("place", F.lit(0).cast("bigint"))
+    joined = rows.join(repeated, F.expr("doc_id <=> of_id AND digest = of_digest AND lane = of_lane"), "left").drop("of_id", "of_digest")
+    in_lane = F.row_number().over(Window.partitionBy("doc_id", "digest", "of_lane").orderBy("of_lane"))
+    many = joined.where("before IS NOT NULL").withColumn("place", F.col("before") + in_lane - 1)
+    return joined.where("before IS NULL").withColumn("place", F.lit(0).cast("bigint")).unionByName(many).drop("of_lane", "before")
 
 
 def _copies(rows: DataFrame, targets: DataFrame) -> DataFrame:
@@ -61,9 +82,9 @@ def _copies(rows: DataFrame, targets: DataFrame) -> DataFrame:
     """
     few = targets.withColumnRenamed("source", "of_source")
     return (
-        rows.join(few, F.expr("source <=> of_source"), "left")
+        _numbered(rows).join(few, F.expr("source <=> of_source"), "left")
         .withColumn("rate", F.expr(f"CASE WHEN source_size = 0 THEN 0D ELSE least(target / source_size, {MOST_REPEATS}D) END"))
-        .withColumn("n_copies", F.expr(f"CAST(floor(rate) AS bigint) + IF({_draw()} < rate - floor(rate), 1L, 0L)"))
+        .withColumn("n_copies", F.expr(f"CAST(floor(rate) AS bigint) + IF({DRAW} < rate - floor(rate), 1L, 0L)"))
     )
 
 
@@ -71,10 +92,12 @@ def plan(docs: DataFrame) -> DataFrame:
     """doc_id, source, size, source_size, target, n_copies and taken (size * n_copies) of every row of docs.
 
     Size is the number of words, 0 for a null text. A null source is a source. A source without words has
-    target 0 and none of its documents are taken. Repeated ids draw alike, so they are taken alike; a null id
-    draws as an empty one. An empty table gives no rows. Other columns are ignored.
+    target 0 and none of its documents are taken. Rows of one id, or of none, draw by their texts, and equal rows
+    by their number. An empty table gives no rows. Other columns are ignored. The targets' windows run over a row
+    for each source, in one task: sources are the few names a mixture has weights for, not host names.
     """
-    sized = written(_sized(docs.select("doc_id", "source", "text")).drop("text"), "mix-sizes")
+    sized = _sized(docs.select("doc_id", "source", "text")).selectExpr("doc_id", "source", "size", f"{DIGEST} AS digest", "spark_partition_id() AS lane")
+    sized = written(sized, "mix-sizes")
     targets = written(sources_with_targets(sized), "mix-targets")
     return _copies(sized, targets).select(
         "doc_id", "source", "size", "source_size", "target", "n_copies", F.expr("size * n_copies").alias("taken")
@@ -87,6 +110,7 @@ def mix(docs: DataFrame) -> DataFrame:
     Columns may have any names besides doc_id, source and text: they travel in one struct.
     """
     targets = written(sources_with_targets(_sized(docs.select("source", "text"))), "mix-targets")
-    rows = docs.select(F.struct("*").alias("whole")).selectExpr("whole", "whole.doc_id", "whole.source")
+    rows = docs.select(F.struct("*").alias("whole")).selectExpr("whole", "whole.doc_id", "whole.source", "whole.text")
+    rows = rows.selectExpr("whole", "doc_id", "source", f"{DIGEST} AS digest", "spark_partition_id() AS lane")
     taken = _copies(rows, targets).where("n_copies > 0")
     return taken.select("whole", F.explode(F.expr("sequence(1L, n_copies)"))).select("whole.*")

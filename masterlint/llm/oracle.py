@@ -6,7 +6,11 @@ from masterlint.llm.common import WORD
 
 #: Running sums over sources in the order in which they reach their ceiling.
 OP2 = f"""
-WITH sized AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '{WORD}')), 0) AS size FROM documents),
+WITH sized AS (
+    SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '{WORD}')), 0) AS size, md5(coalesce(text, '')) AS digest,
+           row_number() OVER (PARTITION BY doc_id, md5(coalesce(text, ''))) - 1 AS place
+    FROM documents
+),
 per_source AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source),
 weighed AS (SELECT *, [5, 2, 1][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS weight FROM per_source),
 levels AS (
@@ -20,7 +24,7 @@ targets AS (SELECT source, source_size, least(fill * weight, 3.0 * source_size):
 rated AS (
     SELECT doc_id, size, source_size, target,
            CASE WHEN source_size = 0 THEN 0 ELSE least(target / source_size, 3) END::DOUBLE AS rate,
-           CAST('0x' || substr(md5('mix' || coalesce(doc_id::VARCHAR, '')), 1, 12) AS BIGINT) / 281474976710656.0::DOUBLE AS draw
+           CAST('0x' || substr(md5('mix' || coalesce(doc_id::VARCHAR, '') || ':' || digest || ':' || place), 1, 12) AS BIGINT) / 281474976710656.0::DOUBLE AS draw
     FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source
 )
 SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
