@@ -11,24 +11,24 @@ from masterlint.llm.queries import tokenizer
 
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that have a language; those without a letter go. The score is no ground: it grows with length."""
-    columns = docs.columns
-    scored = language.identify(docs, language.learn(docs), columns)
-    return scored.where(F.col("lang_pred") != language.UNKNOWN).select(*columns)
+    """The documents that have a language; those without a letter, null texts too, go. The score is no ground: it
+    grows with length. Repeated rows stay; an empty table stays empty; other columns may have any names."""
+    rows = docs.select(F.struct("*").alias("whole"), "text")
+    return language.identify(rows, language.learn(docs), ["whole"]).where(F.col("lang_pred") != language.UNKNOWN).select("whole.*")
 
 
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
+    """One document of each group of near duplicates: see one_of_each."""
     return jaccard_join.one_of_each(docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that hold no benchmark item."""
+    """The documents that hold no benchmark item; null and empty texts hold none, repeated rows go or stay alike."""
     return decontamination.without_leaks(docs, documents(spark, sf_dir, "benchmark"))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mixture takes it."""
+    """Every document as often as the mixture takes it: a null text or one without a word is taken like others."""
     return mixing.mix(docs)
 
 
