@@ -1,146 +1,233 @@
-"""Removal of equal and similar lines, as DataFrame operations.
-
-A line's signature holds the smallest hashes of its character shingles, 20 characters from each word's start
-on, so that one pass over the text yields a sample of shingles spread over the line; of short lines, and lines
-with few spaces, also the smallest hashes of the 5-character shingles at every place. Each value of a signature
-is a band: lines that share one are compared with the first line of their band, exactly, by the Jaccard
-similarity of all their 5-character shingles; only the numbers of these rule out a pair beforehand. The
-lines of a band that don't all resemble its first are compared among themselves, by their rarest shingles, so
-that none of their links is lost. The links' components are found by distributed
-union-find; of each the line with the smallest (doc_id, line number) stays.
+"""Removal of equal and similar lines by MinHash of their characters.
+
+A line's signature holds the least values of its 5-character shingles under a number of hash functions, taken
+together by ROWS as bands. Lines of a band are compared with the band's first line, exactly, by the Jaccard
+similarity of their distinct shingles. Of bands whose lines are then not all known to belong together, the lines
+that aren't are compared with each other in blocks, so that a band loses no link. The links' components are found
+by distributed union-find; of each the line with the smallest (doc_id, text_id, line number) stays.
+
+Shingles are hashed for many lines at once as arrays: as DataFrame functions they take about half a
+microsecond each, which alone is more than the operator may cost. All else is DataFrame operations.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from masterlint.llm.common import components, let, written
+from masterlint.llm.common import components, row_groups, written
 
-SIGNATURE = 5
-SAMPLED_CHARS = 20
-#: Lines of fewer windows also have bands of their shingles.
-FEW_WINDOWS = 8
 SHINGLE = 5
 PERCENT = 80
-#: Lines of a key that one task compares with each other, or with as many others.
-BLOCK = 512
+#: Two lines of similarity 0.8 share one of four bands of two values with a chance of 0.98.
+BANDS, ROWS = 4, 2
+#: Lines that one task compares with each other, or with as many others; and with one band's first line.
+BLOCK, CHUNK = 256, 4096
+#: Characters that are hashed at once.
+CHARACTERS_AT_ONCE = 1 << 18
+_PRIME = np.uint64(0x100000001B3)
+_FACTORS = np.random.default_rng(20_240_301).integers(1 << 62, 1 << 63, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * _MIX
+    return (x ^ (x >> np.uint64(29))) * _FACTORS[0]
+
+
+def shingles(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the shingles of all lines, one line behind the other, and where each line's begin, with the end.
+    A line shorter than a shingle is one as a whole."""
+    lengths = np.fromiter(map(len, lines), np.int64, len(lines))
+    counts = np.maximum(lengths - SHINGLE + 1, 1)
+    offsets = np.concatenate(([0], np.cumsum(counts)))
+    # short lines are filled up with a sign that no text has
+    padded = np.maximum(lengths, SHINGLE)
+    text = "".join([x if len(x) >= SHINGLE else x.ljust(SHINGLE, "\x00") for x in lines])
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64) + np.uint64(1)
+    windows = len(codes) - SHINGLE + 1
+    hashes = np.zeros(max(windows, 0), np.uint64)
+    for i in range(SHINGLE):
+        hashes = hashes * _PRIME + codes[i : i + len(hashes)]
+    at = np.repeat(np.concatenate(([0], np.cumsum(padded)[:-1])) - offsets[:-1], counts) + np.arange(offsets[-1])
+    return _mixed(hashes[at]), offsets
+
+
+def _some(lines: list[str]) -> Iterator[tuple[int, int]]:
+    """Ranges of lines with about CHARACTERS_AT_ONCE characters each, one line at least."""
+    begin = size = 0
+    for at, line in enumerate(lines):
+        if size and size + len(line) > CHARACTERS_AT_ONCE:
+            yield begin, at
+            begin, size = at, 0
+        size += len(line)
+    if begin < len(lines):
+        yield begin, len(lines)
+
+
+def bands(lines: list[str]) -> np.ndarray:
+    """The keys of the bands of each line, a row a line."""
+    found = [np.empty((0, BANDS), np.int64)]
+    for begin, stop in _some(lines):
+        hashes, offsets = shingles(lines[begin:stop])
+        least = [np.minimum.reduceat(hashes * factor, offsets[:-1]) for factor in _FACTORS]
+        keys = []
+        for band in range(BANDS):
+            key = np.full(stop - begin, band, np.uint64)
+            for values in least[band * ROWS : (band + 1) * ROWS]:
+                key = _mixed(key ^ values)
+            keys.append(key)
+        found.append(np.stack(keys, axis=1).view(np.int64))
+    return np.concatenate(found)
+
+
+def _sets(lines: list[str]) -> Iterator[np.ndarray]:
+    """The distinct shingles of each line, in order."""
+    for begin, stop in _some(lines):
+        hashes, offsets = shingles(lines[begin:stop])
+        for i in range(stop - begin):
+            yield np.unique(hashes[offsets[i] : offsets[i + 1]])
+
+
+def similar(a: np.ndarray, b: np.ndarray) -> bool:
+    if 100 * min(len(a), len(b)) < PERCENT * max(len(a), len(b)):
+        return False
+    both = int((a[np.minimum(np.searchsorted(a, b), len(a) - 1)] == b).sum())
+    return 100 * both >= PERCENT * (len(a) + len(b) - both)
 
 
 def lines(docs: DataFrame) -> DataFrame:
-    """doc_id, line_no (from 0), line (lower case, outer blanks off), line_id, crc and signature of all lines
-    that are not blank, written once. line_id is a 64-bit hash of the line; with the 32 bits of crc it says
-    which lines are equal."""
-    each = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "raw"))
-    trimmed = each.selectExpr("doc_id", "line_no", "lower(trim(BOTH ' \\t\\r' FROM raw)) AS line").where("line <> ''")
-    windows = f"regexp_extract_all(line, '(?=(.{{{SAMPLED_CHARS}}}))[^ ]*+ *+', 1)"
-    least = f"slice(sort_array(array_distinct(transform(w, x -> xxhash64(x)))), 1, {SIGNATURE})"
-    short = f"slice(sort_array({_grams('line')}), 1, {SIGNATURE})"
-    signature = let(windows, "w", f"IF(size(w) >= {FEW_WINDOWS}, {least}, array_union({least}, {short}))")
-    return written(trimmed.selectExpr("doc_id", "line_no", "line", "xxhash64(line) AS line_id", "crc32(line) AS crc", f"{signature} AS signature"), "lines")
-
-
-def _grams(line: str) -> str:
-    found = f"regexp_extract_all({line}, '(?=(.{{{SHINGLE}}}))', 1)"
-    return let(found, "g", f"array_distinct(transform(IF(size(g) = 0, array({line}), g), x -> xxhash64(x)))")
-
-
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose lines are similar, by texts (line_id, line, n distinct shingles)."""
-    with_a = pairs.join(texts.select(F.col("line_id").alias("a"), F.col("line").alias("line_a"), F.col("n").alias("n_a")), "a")
-    both = with_a.join(texts.select(F.col("line_id").alias("b"), F.col("line").alias("line_b"), F.col("n").alias("n_b")), "b")
-    near = both.where(f"100 * least(n_a, n_b) >= {PERCENT} * greatest(n_a, n_b)")
-    # one expression: as columns below a filter the shingles would be computed at each mention
-    alike = let("size(array_intersect(ga, gb))", "s", f"100 * s >= {PERCENT} * (size(ga) + size(gb) - s)")
-    return near.where(let(_grams("line_a"), "ga", let(_grams("line_b"), "gb", alike))).select("a", "b").distinct()
-
-
-def _bands(keyed: DataFrame) -> DataFrame:
-    """key and pivot (the smallest line_id) of the values of keyed (key, line_id) with two different lines or
-    more. Equal lines are combined before the shuffle, however many there are."""
-    ends = keyed.groupBy("key").agg(F.min("line_id").alias("pivot"), F.max("line_id").alias("last"))
-    return ends.where("pivot < last").select("key", "pivot")
+    """doc_id, text_id, line_no (from 0), line (lower case, outer blanks off), line_id, crc and keys of all lines
+    that are not blank, written once. line_id is a 64-bit hash of the line; with the 32 bits of crc it says which
+    lines are equal. text_id, a hash of the text, tells rows of one id or none apart."""
+    each = docs.select("doc_id", F.expr("xxhash64(text) AS text_id"), F.posexplode(F.split("text", "\n")).alias("line_no", "raw"))
+    trimmed = each.selectExpr("doc_id", "text_id", "line_no", "lower(trim(BOTH ' \\t\\r' FROM raw)) AS line").where("line <> ''")
+    named = trimmed.selectExpr("*", "xxhash64(line) AS line_id", "crc32(line) AS crc")
 
+    def signed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = bands(batch.column(3).to_pylist())
+            offsets = pa.array(np.arange(len(keys) + 1, dtype=np.int32) * BANDS)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(offsets, pa.array(keys.ravel()))], names=[*batch.schema.names, "keys"])
 
-def _blocks(keyed: DataFrame, sizes: DataFrame) -> DataFrame:
-    """keyed (key, line_id, ...) dealt to parts by sizes (key, size): one for a key of up to BLOCK lines, else
-    one for every two of its blocks."""
-    count = f"CAST(ceil(size / {BLOCK}) AS int)"
-    mine = f"CAST(pmod(xxhash64(line_id), {count}) AS int)"
-    others = f"filter(sequence(0, {count} - 1), j -> j <> {mine})"
-    parts = f"IF({count} = 1, array(0), transform({others}, j -> least(j, {mine}) * {count} + greatest(j, {mine})))"
-    return keyed.join(sizes, "key").withColumn("part", F.explode(F.expr(parts))).drop("size")
+    return written(named.mapInArrow(signed, f"{_ddl(named)}, keys array<bigint>"), "lines")
+
+
+def _ddl(df: DataFrame) -> str:
+    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema)
 
 
-def _left_links(left: DataFrame, found: DataFrame) -> DataFrame:
-    """All links between lines of left (line_id, line, n) that have no path in found yet.
+def _texts(table: DataFrame) -> DataFrame:
+    """line_id and line of the different lines of a table of lines."""
+    return table.groupBy("line_id").agg(F.first("line").alias("line"))
 
-    Of a line's n shingles, rare ones first, two similar lines share one among the first n - 0.8 n + 1 each,
-    whatever else they have in common with others. Each of these is a key; lines of a key are compared in blocks.
+
+def _first_links(members: DataFrame, table: DataFrame) -> DataFrame:
+    """Links (a, b) of lines with the pivots of their bands, by members (key, pivot, line_id).
+
+    A pivot's lines are dealt in chunks, each with the pivot in front, so texts are shuffled once.
     """
-    grams = written(left.select("line_id", "n", F.explode(F.expr(_grams("line"))).alias("gram")), "left-shingles")
-    often = grams.groupBy("gram").agg(F.count("*").alias("times"))
-    by_line = grams.join(often, "gram").groupBy("line_id", "n").agg(F.expr("sort_array(collect_list(struct(times, gram)))").alias("sorted"))
-    first = f"slice(sorted, 1, CAST(n - (n * {PERCENT} + 99) div 100 + 1 AS int))"
-    keys = by_line.select("line_id", "n", F.explode(F.expr(f"filter({first}, x -> x.times > 1)")).alias("x"))
-    roots = components(found, "left-components").withColumnRenamed("node", "line_id")
-    keyed = keys.selectExpr("line_id", "n", "x.gram AS key").join(roots, "line_id", "left")
-    keyed = written(keyed.selectExpr("key", "line_id", "n", "coalesce(root, line_id) AS root"), "left-keys")
-    sizes = keyed.groupBy("key").agg(F.count("*").alias("size"), F.min("root").alias("least"), F.max("root").alias("most"))
-    dealt = written(_blocks(keyed, sizes.where("least < most").select("key", "size")), "left-blocks")
-    a = dealt.selectExpr("key", "part", "line_id AS a", "n AS na", "root AS ra")
-    b = dealt.selectExpr("key", "part", "line_id AS b", "n AS nb", "root AS rb")
-    pairs = a.join(b, ["key", "part"]).where(f"a < b AND ra <> rb AND 100 * least(na, nb) >= {PERCENT} * greatest(na, nb)")
-    return written(_verified(pairs.select("a", "b").distinct(), left), "left-links")
-
-
-def links(texts: DataFrame) -> DataFrame:
-    """Verified links (a, b) between lines of texts (line_id, line, signature), in which lines may come
-    repeatedly. Only the bands read them all: what is left of mixed bands was compared before."""
-    keyed = texts.select("line_id", F.explode("signature").alias("key"))
-    bands = written(_bands(keyed), "bands")
-    members = written(keyed.join(bands, "key").distinct(), "band-lines").where("line_id <> pivot")
-    candidates = members.selectExpr("line_id AS a", "pivot AS b").distinct()
-    ids = candidates.selectExpr("explode(array(a, b)) AS line_id").distinct()
-    one = texts.join(ids, "line_id", "left_semi").groupBy("line_id").agg(F.min("line").alias("line"))
-    compared = written(one.selectExpr("line_id", "line", f"size({_grams('line')}) AS n"), "compared-lines")
-    found = written(_verified(candidates, compared), "line-links")
-    linked = found.selectExpr("a AS line_id", "b AS pivot", "true AS linked")
-    settled = members.join(linked, ["line_id", "pivot"], "left")
-    mixed = settled.where("linked IS NULL").select("key").distinct()
-    # one line left beside the pivot has no other to resemble
-    left = settled.join(mixed, "key", "left_semi").groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    rest = written(members.join(left, "key", "left_semi").select("line_id").distinct(), "left-lines")
-    more = _left_links(compared.join(rest, "line_id", "left_semi"), found)
-    return found.unionByName(more).distinct()
+    pairs = members.select("pivot", "line_id").distinct()
+    sizes = written(pairs.groupBy("pivot").agg(F.count("*").alias("size")).where(f"size > {CHUNK}"), "hot-pivots")
+    chunked = pairs.join(sizes, "pivot", "left").selectExpr("pivot", "line_id", f"CAST(pmod(xxhash64(line_id), 1 + coalesce(size, 0) div {CHUNK}) AS int) AS chunk")
+    heads = chunked.select("pivot", "chunk").distinct().selectExpr("pivot", "pivot AS line_id", "chunk", "0 AS member")
+    dealt = chunked.selectExpr("pivot", "line_id", "chunk", "1 AS member").unionByName(heads)
+    together = dealt.join(_texts(table), "line_id").repartition("pivot", "chunk").sortWithinPartitions("pivot", "chunk", "member")
+
+    def compared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = np.empty(0, np.uint64)
+        for batch in batches:
+            ids, pivots, flags, texts = (batch.column(i).to_pylist() for i in range(4))
+            a, b = [], []
+            for line_id, pivot, member, found in zip(ids, pivots, flags, _sets(texts), strict=True):
+                if not member:
+                    first = found
+                elif similar(first, found):
+                    a.append(line_id)
+                    b.append(pivot)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return together.select("line_id", "pivot", "member", "line").mapInArrow(compared, "a bigint, b bigint")
+
+
+def _block_links(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links (a, b) between lines of different roots in each (key, part)."""
+    for group in row_groups(batches, ["key", "part"]):
+        rows = sorted({(r["line_id"], r["root"], r["line"]) for r in group.select(["line_id", "root", "line"]).to_pylist()})
+        ids, roots = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
+        sets = list(_sets([r[2] for r in rows]))
+        sizes = np.array([len(s) for s in sets])
+        names, numbers = np.unique(np.concatenate(sets), return_inverse=True)
+        begins = np.concatenate(([0], np.cumsum(sizes)))
+        a, b = [], []
+        for i in range(len(rows) - 1):
+            if (roots[i + 1 :] == roots[i]).all():
+                continue
+            mine = np.zeros(len(names), np.int64)
+            mine[numbers[begins[i] : begins[i + 1]]] = 1
+            both = np.add.reduceat(mine[numbers[begins[i + 1] :]], begins[i + 1 : -1] - begins[i + 1])
+            near = (100 * both >= PERCENT * (sizes[i] + sizes[i + 1 :] - both)) & (roots[i + 1 :] != roots[i])
+            b += ids[i + 1 :][near].tolist()
+            a += [int(ids[i])] * int(near.sum())
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+def links(table: DataFrame) -> DataFrame:
+    """Verified links (a, b) between lines of lines(), in which lines may come repeatedly."""
+    keyed = table.select("line_id", F.explode("keys").alias("key"))
+    # equal lines are combined before the shuffle, however many there are
+    ends = keyed.groupBy("key").agg(F.min("line_id").alias("pivot"), F.max("line_id").alias("last"))
+    mixed = written(ends.where("pivot < last").select("key", "pivot"), "bands")
+    members = written(keyed.join(mixed, "key").where("line_id <> pivot").distinct(), "band-lines")
+    found = written(_first_links(members, table), "line-links")
+    # bands whose lines are not all in one component yet; the first line was compared with all others
+    roots = written(components(found, "band-components").withColumnRenamed("node", "line_id"), "band-roots")
+    rooted = members.join(roots, "line_id", "left").selectExpr("key", "line_id", "coalesce(root, line_id) AS root")
+    sizes = rooted.groupBy("key").agg(F.count("*").alias("size"), F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    count = f"CAST(ceil(size / {BLOCK}) AS int)"
+    mine = f"CAST(pmod(xxhash64(line_id), {count}) AS int)"
+    parts = f"IF({count} = 1, array(0), transform(filter(sequence(0, {count} - 1), j -> j <> {mine}), j -> least(j, {mine}) * {count} + greatest(j, {mine})))"
+    dealt = written(rooted.join(sizes.select("key", "size"), "key").selectExpr("key", "line_id", "root", f"explode({parts}) AS part"), "band-blocks")
+    some = table.join(dealt.select("line_id").distinct(), "line_id", "left_semi")
+    together = dealt.join(_texts(some), "line_id").repartition("key", "part").sortWithinPartitions("key", "part")
+    more = together.select("key", "part", "line_id", "root", "line").mapInArrow(_block_links, "a bigint, b bigint")
+    return written(found.unionByName(more).distinct(), "all-line-links")
 
 
 def repeated_lines(docs: DataFrame) -> DataFrame:
-    """One row per line that goes: doc_id, line_no, kept_doc_id, kept_line_no.
+    """One row per line that goes: doc_id, text_id, line_no, kept_doc_id, kept_line_no.
 
     Lines without a visible character are no lines; a null text has none. Equal lines, upper and lower case
-    alike, always share a component. Rows with the same doc_id are one document's: of lines with the same id
-    and number none is removed for the other. A null id comes last. An empty table gives no rows; other
-    columns are ignored; whole lines count, however long.
+    alike, always share a component. Rows of equal id and text are one document's: of their lines of one number
+    none is removed for the other. A null id comes last. An empty table gives no rows; other columns are
+    ignored; whole lines count, however long.
     """
     table = lines(docs)
-    found = links(table.select("line_id", "line", "signature"))
-    roots = components(found, "line-components").withColumnRenamed("node", "line_id")
+    roots = components(links(table), "line-components").withColumnRenamed("node", "line_id")
     copies = table.groupBy("line_id", "crc").agg(F.count("*").alias("copies"))
     grouped = copies.join(roots, "line_id", "left").where("copies > 1 OR root IS NOT NULL")
     # lines that only share line_id and link with nothing are told apart by crc
     group = "IF(root IS NULL, struct(line_id AS a, crc AS b), struct(root AS a, -1L AS b))"
     of_line = written(grouped.select("line_id", "crc", F.expr(group).alias("group")), "line-groups")
-    members = written(table.select("doc_id", "line_no", "line_id", "crc").join(of_line, ["line_id", "crc"]).drop("line_id", "crc"), "group-lines")
-    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "line_no")
-    kept = written(members.groupBy("group").agg(F.min(rank).alias("kept")).selectExpr("group", "kept.doc_id AS kept_doc_id", "kept.line_no AS kept_line_no"), "kept-lines")
-    pairs = members.join(kept, "group").where("NOT (doc_id <=> kept_doc_id AND line_no = kept_line_no)")
-    return pairs.select("doc_id", "line_no", "kept_doc_id", "kept_line_no")
+    places = ["doc_id", "text_id", "line_no"]
+    members = written(table.select(*places, "line_id", "crc").join(of_line, ["line_id", "crc"]).select(*places, "group"), "group-lines")
+    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), *places)
+    kept = written(members.groupBy("group").agg(F.min(rank).alias("kept")), "kept-lines")
+    pairs = members.join(kept, "group").where("NOT (doc_id <=> kept.doc_id AND text_id = kept.text_id AND line_no = kept.line_no)")
+    return pairs.selectExpr(*places, "kept.doc_id AS kept_doc_id", "kept.line_no AS kept_line_no")
 
 
 def without_lines(docs: DataFrame, removed: DataFrame) -> DataFrame:
-    """doc_id and text of docs without the removed lines (doc_id, line_no)."""
-    gone = removed.groupBy("doc_id").agg(F.collect_set("line_no").alias("gone")).withColumnRenamed("doc_id", "of_id")
-    joined = docs.select("doc_id", "text").join(gone, F.expr("doc_id <=> of_id"), "left")
+    """doc_id and text of docs without the removed lines (doc_id, text_id, line_no).
+
+    Lines go from rows of their id and text only; other rows of that id, or without one, keep theirs. A null or
+    empty text, and one that loses nothing, stays as it is; an empty table stays empty.
+    """
+    gone = removed.groupBy("doc_id", "text_id").agg(F.collect_set("line_no").alias("gone")).withColumnsRenamed({"doc_id": "of_id", "text_id": "of_text"})
+    joined = docs.select("doc_id", "text").join(gone, F.expr("doc_id <=> of_id AND xxhash64(text) = of_text"), "left")
     left = "array_join(filter(split(text, '\\n'), (l, i) -> NOT array_contains(gone, i)), '\\n')"
     return joined.selectExpr("doc_id", f"IF(gone IS NULL, text, {left}) AS text")
