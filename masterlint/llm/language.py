@@ -131,12 +131,14 @@ def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], keep: list[str]
     def answers(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         predict = predictor(prototypes)
         for batch in pieces(batches):
-            found = [predict(text) for text in batch.column(batch.num_columns - 1).to_pylist()]
+            found = [predict(text) for text in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())],
-                names=[*batch.schema.names[:-1], "lang_pred", "score"],
+                [*batch.columns[: len(keep)], pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())],
+                names=[*keep, "lang_pred", "score"],
             )
 
-    rows = docs.select(*keep, F.col("text").alias("read_text"))
+    # a text that is kept travels once
+    at = keep.index("text") if "text" in keep else len(keep)
+    rows = docs.select(*keep, *[F.col("text").alias("read_text")] * ("text" not in keep))
     answer = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
-    return rows.mapInArrow(answers, T.StructType([*rows.schema.fields[:-1], *answer]))
+    return rows.mapInArrow(answers, T.StructType([*rows.schema.fields[: len(keep)], *answer]))
