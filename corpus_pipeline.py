@@ -13,8 +13,10 @@ from masterlint.llm.queries import tokenizer
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that have a language; those without a letter, null texts too, go. The score is no ground: it
     grows with length. Repeated rows stay; an empty table stays empty; other columns may have any names."""
-    rows = docs.select(F.struct("*").alias("whole"), "text")
-    return language.identify(rows, language.learn(docs), ["whole"]).where(F.col("lang_pred") != language.UNKNOWN).select("whole.*")
+    others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    rows = docs.select(F.struct(*others).alias("others"), "text")
+    scored = language.identify(rows, language.learn(docs), ["others", "text"]).where(F.col("lang_pred") != language.UNKNOWN)
+    return scored.select(*[F.col("text") if c == "text" else F.col("others")[c].alias(c) for c in docs.columns])
 
 
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
