@@ -101,42 +101,41 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
 
 
 def lines(docs: DataFrame) -> DataFrame:
-    """doc_id, text_id, line_no (from 0), line (lower case, outer blanks off), line_id, crc and keys of all lines
-    that are not blank, written once. line_id is a 64-bit hash of the line; with the 32 bits of crc it says which
-    lines are equal. text_id, a hash of the text, tells rows of one id or none apart."""
+    """doc_id, text_id, line_no (from 0), line (lower case, outer blanks off), line_id and crc of all lines that are
+    not blank. line_id is a 64-bit hash of the line; with the 32 bits of crc it says which lines are equal.
+    text_id, a hash of the text, tells rows of one id or none apart."""
     each = docs.select("doc_id", F.expr("xxhash64(text) AS text_id"), F.posexplode(F.split("text", "\n")).alias("line_no", "raw"))
     trimmed = each.selectExpr("doc_id", "text_id", "line_no", "lower(trim(BOTH ' \\t\\r' FROM raw)) AS line").where("line <> ''")
-    named = trimmed.selectExpr("*", "xxhash64(line) AS line_id", "crc32(line) AS crc")
+    return trimmed.selectExpr("*", "xxhash64(line) AS line_id", "crc32(line) AS crc")
+
+
+def different(table: DataFrame) -> DataFrame:
+    """line_id, crc, line, copies and keys (of its bands) of the different lines of lines(), written once."""
+    each = table.groupBy("line_id", "crc", "line").agg(F.count("*").alias("copies"))
 
     def signed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = bands(batch.column(3).to_pylist())
+            keys = bands(batch.column(2).to_pylist())
             offsets = pa.array(np.arange(len(keys) + 1, dtype=np.int32) * BANDS)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(offsets, pa.array(keys.ravel()))], names=[*batch.schema.names, "keys"])
 
-    return written(named.mapInArrow(signed, f"{_ddl(named)}, keys array<bigint>"), "lines")
+    return written(each.mapInArrow(signed, f"{_ddl(each)}, keys array<bigint>"), "lines")
 
 
 def _ddl(df: DataFrame) -> str:
     return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema)
 
 
-def _texts(table: DataFrame) -> DataFrame:
-    """line_id and line of the different lines of a table of lines."""
-    return table.groupBy("line_id").agg(F.first("line").alias("line"))
-
-
-def _first_links(members: DataFrame, table: DataFrame) -> DataFrame:
-    """Links (a, b) of lines with the pivots of their bands, by members (key, pivot, line_id).
+def _pivot_links(pairs: DataFrame, table: DataFrame) -> DataFrame:
+    """Links (a, b) of lines with the pivots of their bands, by distinct pairs (pivot, line_id).
 
     A pivot's lines are dealt in chunks, each with the pivot in front, so texts are shuffled once.
     """
-    pairs = members.select("pivot", "line_id").distinct()
     sizes = written(pairs.groupBy("pivot").agg(F.count("*").alias("size")).where(f"size > {CHUNK}"), "hot-pivots")
     chunked = pairs.join(sizes, "pivot", "left").selectExpr("pivot", "line_id", f"CAST(pmod(xxhash64(line_id), 1 + coalesce(size, 0) div {CHUNK}) AS int) AS chunk")
     heads = chunked.select("pivot", "chunk").distinct().selectExpr("pivot", "pivot AS line_id", "chunk", "0 AS member")
     dealt = chunked.selectExpr("pivot", "line_id", "chunk", "1 AS member").unionByName(heads)
-    together = dealt.join(_texts(table), "line_id").repartition("pivot", "chunk").sortWithinPartitions("pivot", "chunk", "member")
+    together = dealt.join(table.select("line_id", "line"), "line_id").repartition("pivot", "chunk").sortWithinPartitions("pivot", "chunk", "member")
 
     def compared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = np.empty(0, np.uint64)
@@ -177,13 +176,22 @@ def _block_links(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def links(table: DataFrame) -> DataFrame:
-    """Verified links (a, b) between lines of lines(), in which lines may come repeatedly."""
-    keyed = table.select("line_id", F.explode("keys").alias("key"))
-    # equal lines are combined before the shuffle, however many there are
-    ends = keyed.groupBy("key").agg(F.min("line_id").alias("pivot"), F.max("line_id").alias("last"))
-    mixed = written(ends.where("pivot < last").select("key", "pivot"), "bands")
-    members = written(keyed.join(mixed, "key").where("line_id <> pivot").distinct(), "band-lines")
-    found = written(_first_links(members, table), "line-links")
+    """Verified links (a, b) between the lines of different().
+
+    The first band goes first. A line is in one band of it and so gets one star, its pivot's; in the other bands
+    pivots and lines of one star aren't compared again, which leaves few texts to be shuffled.
+    """
+    keyed = table.select("line_id", F.posexplode("keys").alias("band", "key"))
+    ends = keyed.groupBy("band", "key").agg(F.min("line_id").alias("pivot"), F.max("line_id").alias("last"))
+    mixed = written(ends.where("pivot < last").select("band", "key", "pivot"), "bands")
+    members = written(keyed.join(mixed, ["band", "key"]).where("line_id <> pivot").distinct(), "band-lines")
+    found = written(_pivot_links(members.where("band = 0").select("pivot", "line_id").distinct(), table), "first-line-links")
+    stars = found.groupBy("a").agg(F.min("b").alias("star"))
+    of_pivot = mixed.where("band > 0").join(stars, F.col("pivot") == F.col("a"), "left").selectExpr("band AS of", "key AS at", "coalesce(star, pivot) AS pivot_star")
+    others = members.where("band > 0").join(of_pivot, F.expr("band = of AND key = at")).select("pivot", "line_id", "pivot_star")
+    apart = others.join(stars, F.col("line_id") == F.col("a"), "left").where("pivot_star <> coalesce(star, line_id)")
+    more = _pivot_links(written(apart.select("pivot", "line_id").distinct(), "band-pairs"), table)
+    found = written(found.unionByName(more).distinct(), "line-links")
     # bands whose lines are not all in one component yet; the first line was compared with all others
     roots = written(components(found, "band-components").withColumnRenamed("node", "line_id"), "band-roots")
     rooted = members.join(roots, "line_id", "left").selectExpr("key", "line_id", "coalesce(root, line_id) AS root")
@@ -192,8 +200,7 @@ def links(table: DataFrame) -> DataFrame:
     mine = f"CAST(pmod(xxhash64(line_id), {count}) AS int)"
     parts = f"IF({count} = 1, array(0), transform(filter(sequence(0, {count} - 1), j -> j <> {mine}), j -> least(j, {mine}) * {count} + greatest(j, {mine})))"
     dealt = written(rooted.join(sizes.select("key", "size"), "key").selectExpr("key", "line_id", "root", f"explode({parts}) AS part"), "band-blocks")
-    some = table.join(dealt.select("line_id").distinct(), "line_id", "left_semi")
-    together = dealt.join(_texts(some), "line_id").repartition("key", "part").sortWithinPartitions("key", "part")
+    together = dealt.join(table.select("line_id", "line"), "line_id").repartition("key", "part").sortWithinPartitions("key", "part")
     more = together.select("key", "part", "line_id", "root", "line").mapInArrow(_block_links, "a bigint, b bigint")
     return written(found.unionByName(more).distinct(), "all-line-links")
 
@@ -207,8 +214,9 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     ignored; whole lines count, however long.
     """
     table = lines(docs)
-    roots = components(links(table), "line-components").withColumnRenamed("node", "line_id")
-    copies = table.groupBy("line_id", "crc").agg(F.count("*").alias("copies"))
+    each = different(table)
+    roots = components(links(each), "line-components").withColumnRenamed("node", "line_id")
+    copies = each.groupBy("line_id", "crc").agg(F.sum("copies").alias("copies"))
     grouped = copies.join(roots, "line_id", "left").where("copies > 1 OR root IS NOT NULL")
     # lines that only share line_id and link with nothing are told apart by crc
     group = "IF(root IS NULL, struct(line_id AS a, crc AS b), struct(root AS a, -1L AS b))"
