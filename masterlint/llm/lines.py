@@ -2,9 +2,10 @@
 
 A line's signature holds the least values of its 5-character shingles under a number of hash functions, taken
 together by ROWS as bands. Lines of a band are compared with the band's first line, exactly, by the Jaccard
-similarity of their distinct shingles. Of bands whose lines are then not all known to belong together, the lines
-that aren't are compared with each other in blocks, so that a band loses no link. The links' components are found
-by distributed union-find; of each the line with the smallest (doc_id, text_id, line number) stays.
+similarity of their distinct shingles, the first band before the others. Of bands whose lines are then not all
+known to belong together, the lines that aren't are compared with each other in blocks, so that a band loses no
+link. The links' components are found by distributed union-find; of each the line with the smallest (doc_id,
+text_id, line number) stays.
 
 Shingles are hashed for many lines at once as arrays: as DataFrame functions they take about half a
 microsecond each, which alone is more than the operator may cost. All else is DataFrame operations.
@@ -23,20 +24,22 @@ from masterlint.llm.common import components, row_groups, written
 
 SHINGLE = 5
 PERCENT = 80
-#: Two lines of similarity 0.8 share one of four bands of two values with a chance of 0.98.
-BANDS, ROWS = 4, 2
+#: Two lines of similarity 0.8 share one of ten bands of five values with a chance of 0.98. Of lines with a tenth of
+#: their shingles in common, one pair in ten thousand does; bands of fewer values would be full of such pairs.
+BANDS, ROWS = 10, 5
 #: Lines that one task compares with each other, or with as many others; and with one band's first line.
 BLOCK, CHUNK = 256, 4096
 #: Characters that are hashed at once.
 CHARACTERS_AT_ONCE = 1 << 18
 _PRIME = np.uint64(0x100000001B3)
-_FACTORS = np.random.default_rng(20_240_301).integers(1 << 62, 1 << 63, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
+_FACTORS = np.random.default_rng(20_240_301).integers(1 << 31, 1 << 32, BANDS * ROWS, dtype=np.uint32) | np.uint32(1)
+_LAST = np.uint64(0xD6E8FEB86659FD93)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(31))) * _MIX
-    return (x ^ (x >> np.uint64(29))) * _FACTORS[0]
+    return (x ^ (x >> np.uint64(29))) * _LAST
 
 
 def shingles(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -74,7 +77,8 @@ def bands(lines: list[str]) -> np.ndarray:
     found = [np.empty((0, BANDS), np.int64)]
     for begin, stop in _some(lines):
         hashes, offsets = shingles(lines[begin:stop])
-        least = [np.minimum.reduceat(hashes * factor, offsets[:-1]) for factor in _FACTORS]
+        high = (hashes >> np.uint64(32)).astype(np.uint32)
+        least = [np.minimum.reduceat(high * factor, offsets[:-1]).astype(np.uint64) for factor in _FACTORS]
         keys = []
         for band in range(BANDS):
             key = np.full(stop - begin, band, np.uint64)
@@ -101,32 +105,33 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
 
 
 def lines(docs: DataFrame) -> DataFrame:
-    """doc_id, text_id, line_no (from 0), line (lower case, outer blanks off), line_id and crc of all lines that are
-    not blank. line_id is a 64-bit hash of the line; with the 32 bits of crc it says which lines are equal.
-    text_id, a hash of the text, tells rows of one id or none apart."""
+    """doc_id, text_id, line_no (from 0), line (lower case, outer blanks off), line_id, crc and keys of all lines
+    that are not blank, written once. line_id is a 64-bit hash of the line; with the 32 bits of crc it says which
+    lines are equal. text_id, a hash of the text, tells rows of one id or none apart."""
     each = docs.select("doc_id", F.expr("xxhash64(text) AS text_id"), F.posexplode(F.split("text", "\n")).alias("line_no", "raw"))
     trimmed = each.selectExpr("doc_id", "text_id", "line_no", "lower(trim(BOTH ' \\t\\r' FROM raw)) AS line").where("line <> ''")
-    return trimmed.selectExpr("*", "xxhash64(line) AS line_id", "crc32(line) AS crc")
-
-
-def different(table: DataFrame) -> DataFrame:
-    """line_id, crc, line, copies and keys (of its bands) of the different lines of lines(), written once."""
-    each = table.groupBy("line_id", "crc", "line").agg(F.count("*").alias("copies"))
+    named = trimmed.selectExpr("*", "xxhash64(line) AS line_id", "crc32(line) AS crc")
 
     def signed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = bands(batch.column(2).to_pylist())
+            keys = bands(batch.column(3).to_pylist())
             offsets = pa.array(np.arange(len(keys) + 1, dtype=np.int32) * BANDS)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(offsets, pa.array(keys.ravel()))], names=[*batch.schema.names, "keys"])
 
-    return written(each.mapInArrow(signed, f"{_ddl(each)}, keys array<bigint>"), "lines")
+    return written(named.mapInArrow(signed, f"{_ddl(named)}, keys array<bigint>"), "lines")
 
 
 def _ddl(df: DataFrame) -> str:
     return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema)
 
 
-def _pivot_links(pairs: DataFrame, table: DataFrame) -> DataFrame:
+def _texts(table: DataFrame, members: DataFrame) -> DataFrame:
+    """line_id and line of the different lines in members (key, pivot, line_id), written once."""
+    ids = written(members.select("line_id").unionByName(members.selectExpr("pivot AS line_id")).distinct(), "band-ids")
+    return written(table.join(ids, "line_id", "left_semi").groupBy("line_id").agg(F.first("line").alias("line")), "band-texts")
+
+
+def _pivot_links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Links (a, b) of lines with the pivots of their bands, by distinct pairs (pivot, line_id).
 
     A pivot's lines are dealt in chunks, each with the pivot in front, so texts are shuffled once.
@@ -135,14 +140,14 @@ def _pivot_links(pairs: DataFrame, table: DataFrame) -> DataFrame:
     chunked = pairs.join(sizes, "pivot", "left").selectExpr("pivot", "line_id", f"CAST(pmod(xxhash64(line_id), 1 + coalesce(size, 0) div {CHUNK}) AS int) AS chunk")
     heads = chunked.select("pivot", "chunk").distinct().selectExpr("pivot", "pivot AS line_id", "chunk", "0 AS member")
     dealt = chunked.selectExpr("pivot", "line_id", "chunk", "1 AS member").unionByName(heads)
-    together = dealt.join(table.select("line_id", "line"), "line_id").repartition("pivot", "chunk").sortWithinPartitions("pivot", "chunk", "member")
+    together = dealt.join(texts, "line_id").repartition("pivot", "chunk").sortWithinPartitions("pivot", "chunk", "member")
 
     def compared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = np.empty(0, np.uint64)
         for batch in batches:
-            ids, pivots, flags, texts = (batch.column(i).to_pylist() for i in range(4))
+            ids, pivots, flags, some = (batch.column(i).to_pylist() for i in range(4))
             a, b = [], []
-            for line_id, pivot, member, found in zip(ids, pivots, flags, _sets(texts), strict=True):
+            for line_id, pivot, member, found in zip(ids, pivots, flags, _sets(some), strict=True):
                 if not member:
                     first = found
                 elif similar(first, found):
@@ -176,21 +181,23 @@ def _block_links(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def links(table: DataFrame) -> DataFrame:
-    """Verified links (a, b) between the lines of different().
+    """Verified links (a, b) between lines of lines(), in which lines may come repeatedly.
 
     The first band goes first. A line is in one band of it and so gets one star, its pivot's; in the other bands
     pivots and lines of one star aren't compared again, which leaves few texts to be shuffled.
     """
     keyed = table.select("line_id", F.posexplode("keys").alias("band", "key"))
-    ends = keyed.groupBy("band", "key").agg(F.min("line_id").alias("pivot"), F.max("line_id").alias("last"))
-    mixed = written(ends.where("pivot < last").select("band", "key", "pivot"), "bands")
-    members = written(keyed.join(mixed, ["band", "key"]).where("line_id <> pivot").distinct(), "band-lines")
-    found = written(_pivot_links(members.where("band = 0").select("pivot", "line_id").distinct(), table), "first-line-links")
+    # equal lines are combined before the shuffle, however many there are
+    ends = keyed.groupBy("key").agg(F.min("line_id").alias("pivot"), F.max("line_id").alias("last"))
+    mixed = written(ends.where("pivot < last").select("key", "pivot"), "bands")
+    members = written(keyed.join(mixed, "key").where("line_id <> pivot").distinct(), "band-lines")
+    texts = _texts(table, members)
+    found = written(_pivot_links(members.where("band = 0").select("pivot", "line_id").distinct(), texts), "first-line-links")
     stars = found.groupBy("a").agg(F.min("b").alias("star"))
-    of_pivot = mixed.where("band > 0").join(stars, F.col("pivot") == F.col("a"), "left").selectExpr("band AS of", "key AS at", "coalesce(star, pivot) AS pivot_star")
-    others = members.where("band > 0").join(of_pivot, F.expr("band = of AND key = at")).select("pivot", "line_id", "pivot_star")
+    of_pivot = mixed.join(stars, F.col("pivot") == F.col("a"), "left").selectExpr("key AS at", "coalesce(star, pivot) AS pivot_star")
+    others = members.where("band > 0").join(of_pivot, F.col("key") == F.col("at")).select("pivot", "line_id", "pivot_star")
     apart = others.join(stars, F.col("line_id") == F.col("a"), "left").where("pivot_star <> coalesce(star, line_id)")
-    more = _pivot_links(written(apart.select("pivot", "line_id").distinct(), "band-pairs"), table)
+    more = _pivot_links(written(apart.select("pivot", "line_id").distinct(), "band-pairs"), texts)
     found = written(found.unionByName(more).distinct(), "line-links")
     # bands whose lines are not all in one component yet; the first line was compared with all others
     roots = written(components(found, "band-components").withColumnRenamed("node", "line_id"), "band-roots")
@@ -200,7 +207,7 @@ def links(table: DataFrame) -> DataFrame:
     mine = f"CAST(pmod(xxhash64(line_id), {count}) AS int)"
     parts = f"IF({count} = 1, array(0), transform(filter(sequence(0, {count} - 1), j -> j <> {mine}), j -> least(j, {mine}) * {count} + greatest(j, {mine})))"
     dealt = written(rooted.join(sizes.select("key", "size"), "key").selectExpr("key", "line_id", "root", f"explode({parts}) AS part"), "band-blocks")
-    together = dealt.join(table.select("line_id", "line"), "line_id").repartition("key", "part").sortWithinPartitions("key", "part")
+    together = dealt.join(texts, "line_id").repartition("key", "part").sortWithinPartitions("key", "part")
     more = together.select("key", "part", "line_id", "root", "line").mapInArrow(_block_links, "a bigint, b bigint")
     return written(found.unionByName(more).distinct(), "all-line-links")
 
@@ -214,9 +221,8 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     ignored; whole lines count, however long.
     """
     table = lines(docs)
-    each = different(table)
-    roots = components(links(each), "line-components").withColumnRenamed("node", "line_id")
-    copies = each.groupBy("line_id", "crc").agg(F.sum("copies").alias("copies"))
+    roots = components(links(table), "line-components").withColumnRenamed("node", "line_id")
+    copies = table.groupBy("line_id", "crc").agg(F.count("*").alias("copies"))
     grouped = copies.join(roots, "line_id", "left").where("copies > 1 OR root IS NOT NULL")
     # lines that only share line_id and link with nothing are told apart by crc
     group = "IF(root IS NULL, struct(line_id AS a, crc AS b), struct(root AS a, -1L AS b))"
