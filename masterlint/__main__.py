@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import sys
 from datetime import UTC, date, datetime
 
 from pyspark.sql import DataFrame
@@ -40,7 +41,8 @@ def main() -> None:
     store = Store(spark, options.store, options.store_database)
     rules = [rule for domain in options.domain or DOMAINS for rule in rules_of(domain)]
     started = datetime.now(UTC).date()
-    run_rules(catalog, rules, store, options.exports)
+    for (table, column), count in run_rules(catalog, rules, store, options.exports).rejected.items():
+        print(f"{table}.{column}: {count} values could not be read and count as missing", file=sys.stderr)
     if store.has(DIMENSION):
         dimension = store.dimension()
     else:

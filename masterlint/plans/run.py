@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import UTC, datetime
 
 from pyspark import inheritable_thread_target
@@ -26,6 +26,8 @@ EXPORTS_AT_ONCE = 4
 class Run:
     results: list[Row]
     exports: dict[int, str]
+    #: How many values could not be read, by table and column.
+    rejected: dict[tuple[str, str], int] = field(default_factory=dict)
 
 
 class ExportErrors(RuntimeError):
@@ -42,22 +44,26 @@ def run_rules(
 ) -> Run:
     """Evaluates ``rules`` in one plan, records the results and exports unclean rules' rows.
 
-    A run repeated with its ``run_id``, after a failure or by mistake, records nothing twice. Only the result rows, one per rule, come to the driver: they decide the exports,
-    and recording them from there keeps their ids stable if a task is retried.
+    A run repeated with its ``run_id``, after a failure or by mistake, records nothing twice. Only the result rows,
+    one per rule, come to the driver: they decide the exports, and recording them from there keeps their ids stable
+    if a task is retried. Values that cannot be read concern only the rules on their column and are kept in the
+    store; what comes to the driver is their number for each column.
     """
     spark = catalog.spark
     chosen = {rule.id: rule for rule in rules}
     graded = results(catalog, chosen.values())
     rows = graded.collect()
-    store.append_results(spark.createDataFrame(rows, graded.schema), run_id)
+    run_id = store.append_results(spark.createDataFrame(rows, graded.schema), run_id)
+    unread = catalog.rejected()
+    rejected = store.put_rejected(unread, run_id) if unread is not None else {}
     if export_root is None:
-        return Run(rows, {})
+        return Run(rows, {}, rejected)
     at = datetime.now(UTC)
     unclean = [row.RULE_ID for row in rows if wanted(chosen[row.RULE_ID], row.STATUS, row.PASSED_PERCENTAGE)]
 
     outcomes = write_exports(catalog, [chosen[rule_id] for rule_id in unclean], export_root, at)
     errors = {rule_id: outcome for rule_id, outcome in outcomes.items() if isinstance(outcome, Exception)}
-    run = Run(rows, {rule_id: outcome for rule_id, outcome in outcomes.items() if rule_id not in errors})
+    run = Run(rows, {rule_id: outcome for rule_id, outcome in outcomes.items() if rule_id not in errors}, rejected)
     if errors:
         raise ExportErrors(run, errors)
     return run

@@ -1,11 +1,11 @@
-"""Result tables: the append-only results and the daily cube, replaced or merged."""
+"""Result tables: the append-only results, what could not be read, and the daily cube, replaced or merged."""
 
 from __future__ import annotations
 
 import re
 import uuid
 from dataclasses import dataclass
-from datetime import UTC, datetime
+from datetime import UTC, date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +18,11 @@ DIMENSION = "DIM_DQ_RULES"
 PARTITION = "EXECUTION_DATE"
 #: Result files that the cube holds.
 MERGED = "CUBE_DQ_MERGED"
+#: Values that a run could not read, by run.
+REJECTED = "FACT_DQ_REJECTED"
+RUN = "RUN_ID"
+#: Result files whose rows have gone into a day's packed file.
+PACKED = "FACT_DQ_RESULTS_PACKED"
 #: A name in the form of a UUID from a text.
 NAMED_ID = r"regexp_replace(md5({}), '^(.{{8}})(.{{4}})(.{{4}})(.{{4}})', '$1-$2-$3-$4-')".format
 
@@ -63,7 +68,8 @@ class Store:
         files = self._files(table)
         name = f"run-{run_id}.parquet"
         # on whatever day the first attempt was made
-        if not files.globStatus(self._path(f"{table}/{PARTITION}=*/{name}")):
+        packed = self.has(PACKED) and not self.read(PACKED).filter(F.endswith("FILE", F.lit(f"/{name}"))).isEmpty()
+        if not packed and not files.globStatus(self._path(f"{table}/{PARTITION}=*/{name}")):
             aside = f"{table}/_staging/{uuid.uuid4().hex}"
             try:
                 rows.drop(PARTITION).coalesce(1).write.parquet(aside)
@@ -120,21 +126,66 @@ class Store:
         return ["RULE_ID", PARTITION, *MAXIMA, *[name for name in DIMENSION_SCHEMA.names if name != "RULE_ID"]]
 
     def _put_days(self, cube: DataFrame) -> None:
-        cube = cube.select(*[c for c in self._cube_columns() if c != PARTITION], PARTITION)
-        if self.database and self.has(CUBE):
+        self._put_partitions(CUBE, cube.select(*[c for c in self._cube_columns() if c != PARTITION], PARTITION), PARTITION)
+
+    def _put_partitions(self, name: str, rows: DataFrame, partition: str) -> None:
+        """Writes the partitions in rows, whose last column is the partition's; others stay."""
+        if self.database and self.has(name):
             # as an option of the writer it would not reach the metastore's table, which then lost its other days
             setting = "spark.sql.sources.partitionOverwriteMode"
             before = self.spark.conf.get(setting)
             self.spark.conf.set(setting, "dynamic")
             try:
-                cube.write.mode("overwrite").insertInto(f"{self.database}.{CUBE}")
+                rows.write.mode("overwrite").insertInto(f"{self.database}.{name}")
             finally:
                 self.spark.conf.set(setting, before)
         elif self.database:
-            self.write(CUBE, cube, "overwrite", PARTITION)
+            self.write(name, rows, "overwrite", partition)
         else:
-            writer = cube.write.mode("overwrite").partitionBy(PARTITION)
-            writer.option("partitionOverwriteMode", "dynamic").parquet(f"{self.root}/{CUBE}")
+            writer = rows.write.mode("overwrite").partitionBy(partition)
+            writer.option("partitionOverwriteMode", "dynamic").parquet(f"{self.root}/{name}")
+
+    def put_rejected(self, rejected: DataFrame, run_id: str) -> dict[tuple[str, str], int]:
+        """Keeps the values that a run could not read as the run's partition, and returns their numbers by table
+        and column. A repeated run writes its partition anew; nothing is written where there is no such value."""
+        counted = rejected.groupBy("SOURCE_TABLE", "COLUMN_NAME").count().collect()
+        if counted:
+            self._put_partitions(REJECTED, rejected.withColumn(RUN, F.lit(run_id)), RUN)
+        return {(row.SOURCE_TABLE, row.COLUMN_NAME): row["count"] for row in counted}
+
+    def pack_results(self, before: date | None = None) -> list[str]:
+        """Puts the result files of each day into one, and returns the days packed.
+
+        Only days before ``before`` (default and latest: yesterday, UTC) are packed, as runs add to the present
+        one. The runs' files are noted first, so that a packed run repeated still adds nothing; then the day's
+        partition is replaced. A day fails as a whole and leaves its files; the next packing makes it good. The
+        cube takes a packed file for merged if all that went into it were.
+        """
+        yesterday = datetime.now(UTC).date() - timedelta(days=1)
+        limit = min(before or yesterday, yesterday).isoformat()
+        by_day: dict[str, list[str]] = {}
+        for file in self.result_files():
+            by_day.setdefault(file.partition("/")[0].partition("=")[2], []).append(file)
+        days = sorted(day for day, files in by_day.items() if day < limit and len(files) > 1)
+        table = self._location(RESULTS) if days else ""
+        for day in days:
+            merged = self.has(MERGED) and set(by_day[day]) <= {row.FILE for row in self.read(MERGED).collect()}
+            self._note(PACKED, by_day[day])
+            aside = f"{table}/_staging/{uuid.uuid4().hex}"
+            try:
+                self.read(RESULTS).filter(F.col(PARTITION) == F.lit(day).cast("date")).coalesce(1).write.parquet(aside)
+                rows = self.spark.read.parquet(aside).select(*FACT_SCHEMA.names, PARTITION)
+                self._put_partitions(RESULTS, rows.coalesce(1), PARTITION)
+            finally:
+                self._files(aside).delete(self._path(aside), True)
+            if merged:
+                self._note(MERGED, [file for file in self.result_files() if file.startswith(f"{PARTITION}={day}/")])
+        if self.database and days:
+            self.spark.catalog.refreshTable(f"{self.database}.{RESULTS}")
+        return days
+
+    def _note(self, name: str, files: list[str]) -> None:
+        self.write(name, self.spark.createDataFrame([(file,) for file in files], "FILE string").coalesce(1), "append")
 
     def result_files(self) -> list[str]:
         """The files of the recorded results, relative to their table: one for each run."""
@@ -168,7 +219,7 @@ class Store:
                 self._put_days(self.spark.read.parquet(aside))
             finally:
                 self._files(aside).delete(self._path(aside), True)
-            self.write(MERGED, self.spark.createDataFrame([(file,) for file in fresh], "FILE string").coalesce(1), "append")
+            self._note(MERGED, fresh)
         return self.read(CUBE).select(*self._cube_columns())
 
     def has(self, name: str) -> bool:

@@ -27,6 +27,15 @@ def read_as(declared: T.DataType, given: T.DataType) -> T.DataType:
     return FINE_QUANTITY if isinstance(given, (T.StringType, T.FractionalType)) else QUANTITY
 
 
+def always_fits(given: T.DataType, kind: T.DataType) -> bool:
+    """Whether every value of the given type is one of the type it is read as."""
+    if given == kind or isinstance(kind, T.StringType):
+        return True
+    if isinstance(given, T.DecimalType):
+        return kind == QUANTITY
+    return isinstance(given, (T.ByteType, T.ShortType, T.IntegerType))
+
+
 @dataclass(frozen=True)
 class Source:
     table: str

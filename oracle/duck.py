@@ -245,6 +245,29 @@ def fact_rows(at: str) -> str:
     )
 
 
+# Unit rows whose numbers came as texts with a unit behind them.
+UNREAD = {"UMREZ": ("NUMTP = 'UC'", " EA"), "BRGEW": ("EAN11 = '123'", " kg")}
+
+
+def rejected_values() -> str:
+    """The numbers of unit rows that could not be read, as delivered."""
+    columns = " UNION ALL ".join(
+        f"SELECT 'bqt_ztbw_marm' AS SOURCE_TABLE, MATNR AS ROW_KEY, '{name}' AS COLUMN_NAME, {name} || '{unit}' AS VALUE "
+        f"FROM R WHERE {name} IS NOT NULL AND {unread}"
+        for name, (unread, unit) in UNREAD.items()
+    )
+    return _with(staging("R"), columns)
+
+
+def suite_of_texts(rules: list[int]) -> str:
+    """Graded results where the numbers of ``rejected_values`` are missing."""
+    codes = "".join(_count_row(rule)[0] for rule in rules)
+    missing = ", ".join(f"CASE WHEN {unread} THEN NULL ELSE {name} END AS {name}" for name, (unread, _) in UNREAD.items())
+    units = _with(staging("R"), f"SELECT * REPLACE ({missing}) FROM R")
+    others = [part for part in staging(codes) if not part.startswith("R AS ")]
+    return _with([*others, f"R AS ({units})"], f"SELECT * FROM ({results(rules, staged=True)})")
+
+
 # Rules exported only when their status is FAILED.
 EXPORTED_WHEN_FAILED = (1, 2, 3, 22)
 

@@ -279,3 +279,46 @@ def test_cube_mixes_runs_of_a_utc_day(spark, zone):
         (1, date(2024, 3, 1), "b", 12, 9, 91.67, "FAILED", "y"),
         (1, date(2024, 3, 2), "c", 5, 0, 100.0, "PASSED", "z"),
     ]
+
+
+@pytest.mark.parametrize("kind", ["path", "database"])
+def test_packed_days_keep_their_rows_and_their_runs(spark, tmp_path, monkeypatch, kind):
+    if kind == "path":
+        store = Store(spark, str(tmp_path))
+    else:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS dq_packed LOCATION '{tmp_path}/dq_packed'")
+        store = Store(spark, database="dq_packed")
+    dimension = spark.createDataFrame([], DIMENSION_SCHEMA)
+    for n in range(6):
+        store.append_results(graded(spark, n), f"run{n}", datetime(2024, 3, 1 + n // 3, n, tzinfo=UTC))
+        if n == 3:
+            store.merge_cube(dimension)
+    store.append_results(graded(spark, 6), "today")
+    store.append_results(graded(spark, 7), "again")
+    before = sorted(map(tuple, store.results().collect()))
+    # a failure leaves the day as it was
+    put = Store._put_partitions
+    monkeypatch.setattr(Store, "_put_partitions", lambda *args: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError, match="lost"):
+        store.pack_results()
+    monkeypatch.setattr(Store, "_put_partitions", put)
+    assert sorted(map(tuple, store.results().collect())) == before
+    assert store.pack_results() == ["2024-03-01", "2024-03-02"]
+    assert sorted(map(tuple, store.results().collect())) == before
+    days = [file.partition("/")[0][-10:] for file in store.result_files()]
+    today = datetime.now(UTC).date().isoformat()
+    assert days == ["2024-03-01", "2024-03-02", today, today]
+    assert store.pack_results() == []
+    # packed runs repeated add nothing; a new run of a packed day is packed with it
+    for n in range(6):
+        store.append_results(graded(spark, n), f"run{n}", datetime(2024, 3, 1, tzinfo=UTC))
+    assert sorted(map(tuple, store.results().collect())) == before
+    store.append_results(graded(spark, 8), "late", datetime(2024, 3, 1, 23, tzinfo=UTC))
+    assert store.pack_results() == ["2024-03-01"]
+    assert store.results().count() == len(before) + 2
+    # the first day was merged as a whole before it was packed, the second wasn't
+    merged = sorted(map(tuple, store.merge_cube(dimension).collect()))
+    assert merged == sorted(map(tuple, daily_cube(store.results(), dimension).collect()))
+    assert set(store.result_files()) <= {row.FILE for row in store.read(MERGED).collect()}
+    if kind == "database":
+        spark.sql("DROP DATABASE dq_packed CASCADE")
