@@ -1,6 +1,6 @@
 """Language identification by hyperdimensional profiles.
 
-Every letter has a random vector of +1 and -1. A trigram's vector is the product of its letters' vectors, each
+Every letter of any script has a random vector of +1 and -1 of its own. A trigram's vector is the product of its letters' vectors, each
 rotated by its place; a text's vector is the sum over its trigrams, and a language's prototype the sum over its
 texts. A text gets the language whose prototype has the largest cosine with it.
 """
@@ -22,28 +22,58 @@ from masterlint.llm.common import pieces
 UNKNOWN = "und"
 DIMENSIONS = 512
 SEED = 20240
-#: Symbols: 0 for what is no letter, 1 to 26 for a to z, the rest shared by all other letters.
-SYMBOLS = 40
-OTHERS = SYMBOLS - 27
+#: Symbols: 0 for what is no letter, 1 to 26 for a to z, and from SYMBOLS on every other letter by its code point.
+#: Trigrams of the first ones have a table of vectors, those of others are made when they are met.
+SYMBOLS = 27
+LETTERS = SYMBOLS + sys.maxunicode + 1
+#: Vectors that are added up at once.
+AT_ONCE = 2048
 #: Languages whose trigram counts a task holds at once.
 LANGUAGES_AT_ONCE = 64
 
 
 @lru_cache(1)
 def symbols() -> np.ndarray:
-    table = np.zeros(sys.maxunicode + 1, dtype=np.uint8)
+    table = np.zeros(sys.maxunicode + 1, dtype=np.uint32)
     letters = np.array([c for c in range(sys.maxunicode + 1) if chr(c).isalpha()])
-    table[letters] = 27 + letters % OTHERS
+    table[letters] = SYMBOLS + letters
     table[ord("a") : ord("z") + 1] = np.arange(1, 27)
     return table
 
 
+@lru_cache(1)
+def common_letters() -> np.ndarray:
+    return np.random.default_rng(SEED).choice(np.array([-1, 1], dtype=np.int8), (SYMBOLS, DIMENSIONS))
+
+
+def letter_vectors(found: np.ndarray) -> np.ndarray:
+    """The vectors of symbols, a row each. Those of other letters than a to z are the bits of seeded hashes."""
+    words = found.astype(np.uint64)[:, None] * np.uint64(DIMENSIONS // 64) + np.arange(DIMENSIONS // 64, dtype=np.uint64)
+    words = (words + np.uint64(SEED)) * np.uint64(0x9E3779B97F4A7C15)
+    words = (words ^ (words >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    words = (words ^ (words >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    words = (words ^ (words >> np.uint64(31))).astype("<u8")
+    vectors = np.unpackbits(words.view(np.uint8), axis=1).astype(np.int8) * np.int8(2) - np.int8(1)
+    common = found < SYMBOLS
+    vectors[common] = common_letters()[found[common]]
+    return vectors
+
+
+def bound(first: np.ndarray, second: np.ndarray, third: np.ndarray) -> np.ndarray:
+    """The vectors of trigrams, given those of their letters."""
+    return np.roll(first, 2, axis=-1) * np.roll(second, 1, axis=-1) * third
+
+
 @lru_cache(1)
 def trigram_vectors() -> np.ndarray:
-    letters = np.random.default_rng(SEED).choice(np.array([-1, 1], dtype=np.int8), (SYMBOLS, DIMENSIONS))
-    first, second = np.roll(letters, 2, axis=1), np.roll(letters, 1, axis=1)
-    bound = first[:, None, None] * second[None, :, None] * letters[None, None]
-    return bound.reshape(SYMBOLS**3, DIMENSIONS)
+    letters = common_letters()
+    return bound(letters[:, None, None], letters[None, :, None], letters[None, None]).reshape(SYMBOLS**3, DIMENSIONS)
+
+
+def split(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The three symbols of trigrams, and which trigrams the table has."""
+    first, second, third = ids // (LETTERS * LETTERS), ids // LETTERS % LETTERS, ids % LETTERS
+    return first, second, third, np.maximum(np.maximum(first, second), third) < SYMBOLS
 
 
 def trigrams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
@@ -54,28 +84,43 @@ def trigrams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
         return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
     found = np.concatenate(([0], found, [0])).astype(np.int64)
     found = found[np.concatenate(([True], (found[1:] > 0) | (found[:-1] > 0)))]
-    ids = (found[:-2] * SYMBOLS + found[1:-1]) * SYMBOLS + found[2:]
+    ids = (found[:-2] * LETTERS + found[1:-1]) * LETTERS + found[2:]
     return np.unique(ids, return_counts=True)
 
 
+def _sum(vectors: Callable[[slice], np.ndarray], counts: np.ndarray) -> np.ndarray:
+    """Whole numbers as floating point, which has them exactly up to 2**53."""
+    total = np.zeros(DIMENSIONS)
+    for at in range(0, len(counts), AT_ONCE):
+        part = slice(at, at + AT_ONCE)
+        # in single precision as long as the sums are exact there
+        kind = np.float32 if counts[part].sum() < 1 << 24 else np.float64
+        total += counts[part].astype(kind) @ vectors(part).astype(kind)
+    return total
+
+
 def bundle(ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    return counts.astype(np.float32) @ trigram_vectors()[ids].astype(np.float32)
+    first, second, third, common = split(ids)
+    table, small = trigram_vectors(), (first * SYMBOLS + second) * SYMBOLS + third
+    total = _sum(lambda part: table[small[common][part]], counts[common])
+    if common.all():
+        return total
+    symbols_of = [x[~common] for x in (first, second, third)]
+    return total + _sum(lambda part: bound(*[letter_vectors(x[part]) for x in symbols_of]), counts[~common])
 
 
 def _profiles(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One vector of whole numbers per language and task: sums don't depend on their order."""
     totals: dict[str, np.ndarray] = {}
+    others: dict[str, np.ndarray] = {}
 
     def flush() -> Iterator[pa.RecordBatch]:
-        vectors = trigram_vectors()
         for lang, total in totals.items():
             ids = np.flatnonzero(total)
-            profile = np.zeros(DIMENSIONS, dtype=np.int64)
-            for at in range(0, len(ids), 4096):
-                part = ids[at : at + 4096]
-                profile += total[part] @ vectors[part].astype(np.int64)
-            yield pa.RecordBatch.from_pydict({"lang": [lang], "profile": [profile.tolist()]})
+            profile = others[lang] + _sum(lambda part: trigram_vectors()[ids[part]], total[ids])
+            yield pa.RecordBatch.from_pydict({"lang": [lang], "profile": [profile.astype(np.int64).tolist()]})
         totals.clear()
+        others.clear()
 
     for batch in pieces(batches):
         for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -85,8 +130,11 @@ def _profiles(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if lang not in totals:
                 if len(totals) >= LANGUAGES_AT_ONCE:
                     yield from flush()
-                totals[lang] = np.zeros(SYMBOLS**3, dtype=np.int64)
-            totals[lang][ids] += counts
+                totals[lang], others[lang] = np.zeros(SYMBOLS**3, dtype=np.int64), np.zeros(DIMENSIONS)
+            first, second, third, common = split(ids)
+            totals[lang][((first * SYMBOLS + second) * SYMBOLS + third)[common]] += counts[common]
+            if not common.all():
+                others[lang] += bundle(ids[~common], counts[~common])
     yield from flush()
 
 
@@ -112,7 +160,7 @@ def predictor(prototypes: dict[str, np.ndarray]) -> Callable[[str | None], tuple
         ids, counts = trigrams(text)
         if not len(ids) or not names:
             return UNKNOWN, 0.0
-        vector = bundle(ids, counts)
+        vector = bundle(ids, counts).astype(np.float32)
         cosines = matrix @ (vector / (np.linalg.norm(vector) or 1.0))
         best = int(np.argmax(cosines))
         return names[best], min(1.0, max(0.0, round(float(cosines[best]), 6)))
