@@ -10,6 +10,9 @@ lower-casing and joining words by single spaces. The steps, for each document:
 3. Bit-sampling LSH. A window goes on if it agrees with the item on all sampled places of a repetition. The
    number of repetitions follows from the target recall, measured on items with the most edits allowed.
 4. Exact edit distance of the item to the best passage around the window.
+
+Long items are cut in sections, which steps 1 to 3 look for in the item's place. So the memory of a task is that of
+its texts and a block of items, and doesn't grow with the longest item.
 """
 
 from __future__ import annotations
@@ -19,6 +22,7 @@ import random
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import ahocorasick
 import numpy as np
@@ -26,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from masterlint.llm.common import pieces
+from masterlint.llm.common import pieces, written
 
 EDIT_RATE = 0.05
 RECALL = 0.99
@@ -37,6 +41,10 @@ SEED = 11
 ITEM_CHARS = 8_000_000
 #: Items used to measure the recall of one repetition.
 MEASURED_ITEMS = 200
+#: Steps of a walk whose bits are made at once, and how many such blocks a worker keeps (16 KB each).
+STEPS_AT_ONCE, STEPS_KEPT = 64, 1024
+#: Characters of a window. Longer items are sought by sections, one of which has no more than its share of the edits.
+SECTION = 2048
 #: Cells of the window matrix that are embedded at once.
 CELLS = 1 << 21
 END = 0
@@ -50,6 +58,15 @@ def edits_allowed(length: int, rate: float = EDIT_RATE) -> int:
     return int(length * rate)
 
 
+def sections(item: str, rate: float = EDIT_RATE) -> list[tuple[int, int, int]]:
+    """Begin, end and edits of an item's sections: of a passage with no more edits than the item may have, one
+    section has no more than its own."""
+    count = -(-len(item) // SECTION)
+    bounds = [len(item) * i // count for i in range(count + 1)]
+    edits = edits_allowed(len(item), rate) // count
+    return [(a, b, edits) for a, b in zip(bounds, bounds[1:], strict=False)]
+
+
 def best_passage(item: str, text: str) -> tuple[int, int]:
     """Fewest edits between item and any passage of text, and where the first such passage ends.
 
@@ -75,12 +92,20 @@ def best_passage(item: str, text: str) -> tuple[int, int]:
 
 
 class Embedding:
-    """One repetition: the random bits of a walk and the places sampled from its result."""
+    """One repetition: the random bits of a walk and the places sampled from its result.
+
+    The bits are the seeded generator's for a step, made when the walk gets there, so nothing grows with the items.
+    """
+
+    def __init__(self, seed: int):
+        self.seed = seed
+        self.sampled = np.sort(np.random.default_rng([SEED, seed]).random(SAMPLED))
 
-    def __init__(self, seed: int, longest: int):
-        source = np.random.default_rng([SEED, seed])
-        self.bits = source.integers(0, 2, (STRETCH * longest, 256), dtype=np.int64)
-        self.sampled = np.sort(source.random(SAMPLED))
+    @staticmethod
+    @lru_cache(STEPS_KEPT)
+    def _bits(seed: int, block: int) -> np.ndarray:
+        """The bits of STEPS_AT_ONCE steps, a row of 256 a step."""
+        return np.random.default_rng([SEED, seed, block]).integers(0, 2, (STEPS_AT_ONCE, 256), dtype=np.int8)
 
     def sample(self, strings: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """strings: rows of code points ended by END; lengths: of each row's item. A row of samples each."""
@@ -94,10 +119,28 @@ class Embedding:
             hit = wanted == step
             if hit.any():
                 out = np.where(hit, seen[:, None], out)
-            at += self.bits[step][seen & 255]
+            at += self._bits(self.seed, step // STEPS_AT_ONCE)[step % STEPS_AT_ONCE][seen & 255]
         return out
 
 
+def _samples(walk: Embedding, strings: list[str], lengths: np.ndarray) -> np.ndarray:
+    """The samples of many strings, those of like length together: a few long ones don't widen all."""
+    out = np.zeros((len(strings), SAMPLED), dtype=np.uint32)
+    order = np.argsort(lengths, kind="stable")
+    for some in _slices(order, lengths):
+        out[some] = walk.sample(_matrix([strings[i] for i in some], int(lengths[some].max())), lengths[some])
+    return out
+
+
+def _slices(order: np.ndarray, lengths: np.ndarray) -> Iterator[np.ndarray]:
+    """order, which is by length, in slices of at most CELLS characters once filled up, one string at least."""
+    begin = 0
+    for at in range(1, len(order) + 1):
+        if at == len(order) or (at + 1 - begin) * (int(lengths[order[at]]) + 1) > CELLS:
+            yield order[begin:at]
+            begin = at
+
+
 def _matrix(strings: list[str], width: int) -> np.ndarray:
     out = np.zeros((len(strings), width + 1), dtype=np.uint32)
     for row, s in zip(out, strings, strict=True):
@@ -120,19 +163,17 @@ def _edited(item: str, edits: int, source: random.Random) -> str:
 def repetitions(items: list[str], rate: float, recall: float) -> int:
     """How many repetitions find a copy with the most edits allowed with the wanted probability."""
     source = random.Random(SEED)
-    chosen = [x for x in sorted(items) if edits_allowed(len(x), rate)]
+    chosen = [x[a:b] for x in sorted(items) for a, b, edits in sections(x, rate) if edits]
     chosen = source.sample(chosen, min(len(chosen), MEASURED_ITEMS))
     if not chosen:
         return 1
-    longest = max(map(len, chosen))
     lengths = np.array([len(x) for x in chosen])
-    copies = _matrix([_edited(x, edits_allowed(len(x), rate), source)[: len(x)] for x in chosen], longest)
-    originals = _matrix(chosen, longest)
+    copies = [_edited(x, edits_allowed(len(x), rate), source)[: len(x)] for x in chosen]
     found = np.zeros(len(chosen))
     trials = 24
     for seed in range(trials):
-        walk = Embedding(seed, longest)
-        found += (walk.sample(copies, lengths) == walk.sample(originals, lengths)).all(axis=1)
+        walk = Embedding(seed)
+        found += (_samples(walk, copies, lengths) == _samples(walk, chosen, lengths)).all(axis=1)
     typical = float(np.quantile(found / trials, 0.1))  # of the items that are found least often
     return max(1, math.ceil(math.log(1 - recall) / math.log(1 - min(max(typical, 1 / trials), 0.999))))
 
@@ -147,21 +188,22 @@ class Finder:
     _ready: bool = field(default=False, repr=False)
 
     def prepare(self) -> None:
+        self.sections: list[tuple[int, int, str]] = []
         pieces: dict[str, list[tuple[int, int]]] = defaultdict(list)
         for n, (_, item) in enumerate(self.items):
-            parts = edits_allowed(len(item), self.rate) + 1
-            bounds = [len(item) * p // parts for p in range(parts + 1)]
-            for a, b in zip(bounds, bounds[1:], strict=False):
-                pieces[item[a:b]].append((n, a))
+            for begin, end, edits in sections(item, self.rate):
+                bounds = [begin + (end - begin) * p // (edits + 1) for p in range(edits + 2)]
+                for a, b in zip(bounds, bounds[1:], strict=False):
+                    pieces[item[a:b]].append((len(self.sections), a - begin))
+                self.sections.append((n, begin, item[begin:end]))
         self.automaton = ahocorasick.Automaton()
         for piece, places in pieces.items():
             self.automaton.add_word(piece, (len(piece), places))
         self.automaton.make_automaton()
-        longest = max(len(item) for _, item in self.items)
-        self.walks = [Embedding(seed, longest) for seed in range(self.repeats)]
-        lengths = np.array([len(item) for _, item in self.items])
-        matrix = _matrix([item for _, item in self.items], longest)
-        self.samples = [walk.sample(matrix, lengths) for walk in self.walks]
+        self.walks = [Embedding(seed) for seed in range(self.repeats)]
+        strings = [section for _, _, section in self.sections]
+        self.lengths = np.array([len(x) for x in strings])
+        self.samples = [_samples(walk, strings, self.lengths) for walk in self.walks]
         self._ready = True
 
     def find(self, texts: list[str | None]) -> list[dict[int, tuple[int, int, int]]]:
@@ -169,60 +211,69 @@ class Finder:
         if not self._ready:
             self.prepare()
         found: list[dict[int, tuple[int, int, int]]] = []
-        windows: list[tuple[int, int, int]] = []
+        windows: list[tuple[int, int, int, int]] = []
         clean = [normal(text) for text in texts]
         for t, text in enumerate(clean):
             found.append({})
             starts: set[tuple[int, int]] = set()
             for end, (size, places) in self.automaton.iter(text):
-                starts.update((n, end + 1 - size - a) for n, a in places)
-            windows += [(t, n, start) for n, start in sorted(starts)]
-        size = max(1, CELLS // (1 + max((len(item) for _, item in self.items), default=1)))
-        for at in range(0, len(windows), size):
-            some = windows[at : at + size]
-            for (t, n, start), near in zip(some, self._near(clean, some), strict=True):
-                if near and found[t].get(n, (1,))[0] > 0:
-                    self._verify(clean[t], n, start, found[t])
+                starts.update((s, end + 1 - size - a) for s, a in places)
+            of_items = [(self.sections[s][0], start - self.sections[s][1], s) for s, start in starts]
+            windows += [(t, n, start, s) for n, start, s in sorted(of_items)]
+        sizes = self.lengths[[s for *_, s in windows]] if windows else np.empty(0, dtype=np.int64)
+        near = np.zeros(len(windows), dtype=bool)
+        for some in _slices(np.argsort(sizes, kind="stable"), sizes):
+            near[some] = self._near(clean, [windows[i] for i in some])
+        sought: dict[tuple[int, int], int] = {}
+        for i in np.flatnonzero(near):
+            t, n, start, _ = windows[i]
+            # what is found from one window is found for all windows shortly behind it
+            if start >= sought.get((t, n), start) and found[t].get(n, (1,))[0] > 0:
+                sought[t, n] = start + 1 + self._verify(clean[t], n, start, found[t])
         return found
 
-    def _near(self, texts: list[str], windows: list[tuple[int, int, int]]) -> np.ndarray:
-        lengths = np.array([len(self.items[n][1]) for _, n, _ in windows])
-        strings = [texts[t][max(0, start) : max(0, start + size)] for (t, _, start), size in zip(windows, lengths.tolist(), strict=True)]
+    def _near(self, texts: list[str], windows: list[tuple[int, int, int, int]]) -> np.ndarray:
+        of_section = np.array([s for *_, s in windows])
+        lengths = self.lengths[of_section]
+        strings = []
+        for (t, _, start, s), size in zip(windows, lengths.tolist(), strict=True):
+            begin = start + self.sections[s][1]
+            strings.append(texts[t][max(0, begin) : max(0, begin + size)])
         matrix = _matrix(strings, int(lengths.max()))
-        of_item = np.array([n for _, n, _ in windows])
         near = np.zeros(len(windows), dtype=bool)
         for walk, samples in zip(self.walks, self.samples, strict=True):
             left = np.flatnonzero(~near)
             if not len(left):
                 break
-            same = walk.sample(matrix[left], lengths[left]) == samples[of_item[left]]
+            same = walk.sample(matrix[left], lengths[left]) == samples[of_section[left]]
             near[left[same.all(axis=1)]] = True
         return near
 
-    def _verify(self, text: str, n: int, start: int, found: dict[int, tuple[int, int, int]]) -> None:
+    def _verify(self, text: str, n: int, start: int, found: dict[int, tuple[int, int, int]]) -> int:
+        """Looks for the item around a window, and returns up to how far behind it other windows need no look."""
         item = self.items[n][1]
         allowed = edits_allowed(len(item), self.rate)
         begin = max(0, start - allowed)
-        region = text[begin : start + len(item) + allowed]
+        region = text[begin : start + len(item) + 3 * allowed]
         edits, end = best_passage(item, region)
         if edits <= allowed and (n not in found or edits < found[n][0]):
             back = best_passage(item[::-1], region[:end][::-1])[1]  # the same passage, from its end
             found[n] = (edits, begin + end - back, begin + end)
+        return 2 * allowed
 
 
-def finders(benchmark: DataFrame, rate: float = EDIT_RATE, recall: float = RECALL) -> list[Finder]:
-    """One finder per block of items. Items without a word are left out. Each block's size is bounded by
-    ITEM_CHARS (or one item), so what goes to the tasks does not grow with the benchmark."""
+def finders(benchmark: DataFrame, rate: float = EDIT_RATE, recall: float = RECALL) -> Iterator[Finder]:
+    """One finder per block of items, one after the other: neither the driver nor a task holds more than a block.
+    Items without a word are left out. A block has about ITEM_CHARS characters, or one item, so what goes to the
+    tasks does not grow with the benchmark."""
     rows = benchmark.select("item_id", "text").where("text IS NOT NULL")
     chars = rows.agg(F.sum(F.char_length("text"))).first()[0] or 0
     blocks = 1 + chars // ITEM_CHARS
-    out = []
     for block in range(blocks):
-        mine = rows.where(F.expr(f"pmod(xxhash64(item_id), {blocks}) = {block}")).collect() if blocks > 1 else rows.collect()
-        items = [(r.item_id, item) for r in mine if (item := normal(r.text))]
+        mine = rows.where(F.expr(f"pmod(xxhash64(item_id, text), {blocks}) = {block}")) if blocks > 1 else rows
+        items = [(r.item_id, item) for r in mine.toLocalIterator() if (item := normal(r.text))]
         if items:
-            out.append(Finder(items, rate, repetitions([x for _, x in items], rate, recall)))
-    return out
+            yield Finder(items, rate, repetitions([x for _, x in items], rate, recall))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -253,17 +304,24 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         return search
 
     texts = docs.select("doc_id", "text")
-    found = [texts.mapInArrow(searching(f), schema) for f in finders(benchmark)]
-    if not found:
-        return docs.sparkSession.createDataFrame([], schema)
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
+    out = docs.sparkSession.createDataFrame([], schema)
+    blocks = finders(benchmark)
+    finder, following = next(blocks, None), next(blocks, None)
+    if finder and not following:
+        return texts.mapInArrow(searching(finder), schema)
+    while finder:
+        # written before the next but one is made, so that its items can go
+        out = out.unionByName(written(texts.mapInArrow(searching(finder), schema), "leaks"))
+        finder, following = following, next(blocks, None)
     return out
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of docs that leak no item, with all their columns."""
+    """The rows of docs that leak no item, with all their columns.
+
+    Rows with a null or empty text stay, repeated rows stay or go alike, an empty table or benchmark changes
+    nothing; other columns may have any names.
+    """
     place = docs.columns.index("text")
 
     def keeping(finder: Finder):
@@ -273,6 +331,11 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
         return keep
 
-    for finder in finders(benchmark):
+    blocks = finders(benchmark)
+    finder, following = next(blocks, None), next(blocks, None)
+    while finder:
         docs = docs.mapInArrow(keeping(finder), docs.schema)
+        if following:
+            docs = written(docs, "without-leaks")
+        finder, following = following, next(blocks, None)
     return docs
