@@ -364,6 +364,8 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     decided = written(ranked.where("NOT first OR rows > 1").select(F.col("doc_id").alias("of_id"), F.col("text_id").alias("of_text"), "first"), "copies")
     same = "whole.doc_id <=> of_id AND xxhash64(whole.text) = of_text"
     whole = docs.select(F.struct("*").alias("whole"))
+    # the decisions grow with the rows, so they are never broadcast; both joins read one shuffle of the rows
+    decided = decided.hint("merge")
     stay = whole.join(decided, F.expr(same), "left_anti").select("whole.*")
-    repeated = whole.join(decided.where("first"), F.expr(same)).groupBy("of_id", "of_text").agg(F.first("whole").alias("whole"))
+    repeated = whole.join(decided.where("first").hint("merge"), F.expr(same)).groupBy("of_id", "of_text").agg(F.first("whole").alias("whole"))
     return stay.unionByName(repeated.select("whole.*"))
