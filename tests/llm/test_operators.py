@@ -500,6 +500,31 @@ def test_encoder_equals_library_when_memory_starts_anew(small, monkeypatch):
             assert np.frombuffer(ids, dtype="<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_encoder_tells_chunks_apart_once(monkeypatch):
+    from tokenizers import Tokenizer
+
+    library, encoder = Tokenizer.from_file(tokenizer("byte_bpe_50k.json")), token_files.Encoder(tokenizer("byte_bpe_50k.json"))
+    texts = ["word", "word word, word", "word\nword\n, word", None, "", " word", "a  b\n\nc", "été 日本 x1 ;", "<|endoftext|> word", "\u00a0word", "word\tword", "a\nb c.\nd"] * 50
+    learned = []
+    learn = encoder._learn
+    monkeypatch.setattr(encoder, "_learn", lambda words: learn([learned.append(w) or w for w in words]))
+    ids, bounds = encoder.ended(texts)
+    wanted = [[*library.encode(t or "", add_special_tokens=False).ids, token_files.END_ID] for t in texts]
+    assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:], strict=False)] == wanted
+    assert "word" in learned and len(learned) == len(set(learned))
+    assert [x.tolist() for x in encoder.ended([])] == [[], [0]]
+
+
+def test_slices_hold_every_row_in_order(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(token_files, "BYTES_AT_ONCE", 10)
+    rows = list(enumerate(["", None, "x" * 30, "abc", "defghij", "k", None, "é" * 5, "y"]))
+    batch = pa.record_batch([pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows], pa.string())], names=["doc_id", "text"])
+    found = list(token_files._slices(batch))
+    assert [tuple(r.values()) for some in found for r in some.to_pylist()] == rows and len(found) == 6
+
+
 def test_token_counts(docs, small):
     import sentencepiece
 
