@@ -296,6 +296,16 @@ def _fingerprints(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         )
 
 
+def _candidates(nodes: DataFrame, buckets: DataFrame) -> DataFrame:
+    """bucket, size, node, n and bits of the nodes (row, node, n, keys, bits) in buckets (key, size).
+
+    The members of the buckets are written first, so that Spark knows how few they are: else it deals out the
+    bitmaps of all nodes before it does.
+    """
+    members = nodes.select("row", F.explode("keys").alias("key")).join(buckets, "key").select(F.col("key").alias("bucket"), "size", "row")
+    return written(members, "bucket-members").join(nodes.drop("keys"), "row").drop("row")
+
+
 def cluster(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles and component_id (smallest doc_id reachable by links) of every row of docs.
 
@@ -330,9 +340,7 @@ def _placed(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     sizes = rows.groupBy("key").agg(F.count("*").alias("size"), F.bit_xor(F.xxhash64("row")).alias("who")).where("size > 1")
     # buckets of the same sets are one bucket; a set has one row here, so that no two hashes cancel
     buckets = written(sizes.groupBy("size", "who").agg(F.min("key").alias("key")).select("key", "size"), "shingle-buckets")
-    members = rows.join(buckets, "key").select(F.col("key").alias("bucket"), "size", "row")
-    candidates = members.join(nodes.drop("keys"), "row").drop("row")
-    possible = written(_grouped(_blocks(candidates, block), ["n", "bits"], _possible_links).distinct(), "possible-links")
+    possible = written(_grouped(_blocks(_candidates(nodes, buckets), block), ["n", "bits"], _possible_links).distinct(), "possible-links")
 
     clusters = components(possible, "possible-components")
     cluster_sizes = clusters.groupBy("root").agg(F.count("*").alias("size"))

@@ -149,6 +149,22 @@ def test_jaccard_near_copies_in_rows_that_come_twice(spark):
     same(rows_of(jaccard_join.cluster(no_ids.union(no_ids))), brute_components(texts_of(no_ids) * 2))
 
 
+def test_jaccard_bitmaps_of_other_nodes_stay_in_place(spark):
+    kinds = "row bigint, node bigint, n bigint, keys array<bigint>, bits binary"
+    nodes = spark.range(3000).selectExpr("id AS row", "id * 2 AS node", "40L AS n", "transform(sequence(1, 39), i -> xxhash64(id, i)) AS keys", "unhex(sha2(string(id), 512)) AS bits")
+    nodes = jaccard_join.written(nodes.unionByName(spark.createDataFrame([(5000, 1, 40, [7, 8], bytearray(8)), (5001, 3, 41, [7, 9], bytearray(8))], kinds)), "test-nodes")
+    buckets = spark.createDataFrame([(7, 2)], "key bigint, size bigint")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20k")
+    try:
+        found = jaccard_join._candidates(nodes, F.broadcast(buckets))
+        plan = found._jdf.queryExecution().sparkPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert sorted((r.bucket, r["size"], r.node, r.n, bytes(r.bits)) for r in found.collect()) == [(7, 2, 1, 40, bytes(8)), (7, 2, 3, 41, bytes(8))]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
 def test_jaccard_keeps_one_of_each(odd):
     kept = [r.doc_id for r in jaccard_join.one_of_each(odd).collect()]
     assert jaccard_join.one_of_each(odd).columns == odd.columns
