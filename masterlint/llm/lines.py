@@ -159,7 +159,7 @@ def _pivot_links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _block_links(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links (a, b) between lines of different roots in each (key, part)."""
+    """Links (a, b) between lines of different roots in each (key, part): a spanning forest, so fewer than lines."""
     for group in row_groups(batches, ["key", "part"]):
         rows = sorted({(r["line_id"], r["root"], r["line"]) for r in group.select(["line_id", "root", "line"]).to_pylist()})
         ids, roots = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
@@ -167,16 +167,22 @@ def _block_links(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes = np.array([len(s) for s in sets])
         names, numbers = np.unique(np.concatenate(sets), return_inverse=True)
         begins = np.concatenate(([0], np.cumsum(sizes)))
+        # lines that are known to belong together are one group; a link is only wanted between two groups
+        _, group = np.unique(roots, return_inverse=True)
         a, b = [], []
         for i in range(len(rows) - 1):
-            if (roots[i + 1 :] == roots[i]).all():
+            apart = group[i + 1 :] != group[i]
+            if not apart.any():
                 continue
             mine = np.zeros(len(names), np.int64)
             mine[numbers[begins[i] : begins[i + 1]]] = 1
             both = np.add.reduceat(mine[numbers[begins[i + 1] :]], begins[i + 1 : -1] - begins[i + 1])
-            near = (100 * both >= PERCENT * (sizes[i] + sizes[i + 1 :] - both)) & (roots[i + 1 :] != roots[i])
-            b += ids[i + 1 :][near].tolist()
-            a += [int(ids[i])] * int(near.sum())
+            near = np.flatnonzero((100 * both >= PERCENT * (sizes[i] + sizes[i + 1 :] - both)) & apart) + i + 1
+            # one link to each of the other groups, which then are one with this
+            others, firsts = np.unique(group[near], return_index=True)
+            b += ids[near[firsts]].tolist()
+            a += [int(ids[i])] * len(firsts)
+            group[np.isin(group, others)] = group[i]
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 

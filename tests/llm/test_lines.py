@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -71,3 +72,20 @@ def test_many_near_copies_of_one_line(spark, monkeypatch):
     kept = {r.doc_id: r.kept_doc_id for r in lines.repeated_lines(docs).collect()}
     assert all(kept.get(i, i) == 0 for i in range(600))
     assert docs.where(F.col("doc_id") < 600).count() == 600
+
+
+def test_links_of_a_block_are_a_forest():
+    base = " ".join(f"word{i}" for i in range(40))
+    other = " ".join(f"name{i}" for i in range(40))
+    # every line has a root of its own, but for the last two, and links with all of its kind
+    rows = [("k", 0, i, i, f"{base} {i}") for i in range(100)] + [("k", 0, 100 + i, 100 + i, f"{other} {i}") for i in range(50)]
+    rows += [("k", 0, 150, 7, f"{base} x"), ("k", 0, 151, 7, f"{other} x"), ("k", 1, 0, 0, base), ("k", 1, 1, 0, f"{base} y")]
+    batch = pa.RecordBatch.from_pylist([dict(zip(("key", "part", "line_id", "root", "line"), r, strict=True)) for r in rows])
+    found = [(x["a"], x["b"]) for some in lines._block_links([batch]) for x in some.to_pylist()]
+    group = {r[2]: r[3] for r in rows[:152]}
+    assert len(found) == len(set(group.values())) - 1
+    for a, b in found:
+        one, two = group[a], group[b]
+        assert one != two
+        group = {i: one if g == two else g for i, g in group.items()}
+    assert len(set(group.values())) == 1
